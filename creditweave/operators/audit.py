@@ -55,9 +55,10 @@ def audit_drafts(drafts: DataFrame, strict: bool = True) -> DataFrame:
     ``gate`` is the first one that refuses. ``strict`` adds the last gate,
     against quoted table names and comma joins.
     """
-    sql = F.col("cleaned_sql")
-    lowered = F.lower(sql)
-    verbs = [F.when(lowered.rlike(rf"\b{verb}\b"), F.lit(verb)) for verb in FORBIDDEN_VERBS]
+    sql, lowered = F.col("cleaned_sql"), F.col("lowered")
+    # One pattern finds out whether any verb is there; only then is it asked which.
+    any_verb = lowered.rlike(rf"\b(?:{'|'.join(FORBIDDEN_VERBS)})\b")
+    which = F.coalesce(*[F.when(lowered.rlike(rf"\b{verb}\b"), F.lit(verb)) for verb in FORBIDDEN_VERBS])
     allowed = F.array(*[F.lit(t) for t in ALLOWED_TABLES])
     # Drafts are lower-cased before tables are looked up, like the verbs.
     tables = F.array_sort(F.array_distinct(F.regexp_extract_all(lowered, F.lit(TABLE_AFTER_FROM), 1)))
@@ -76,7 +77,8 @@ def audit_drafts(drafts: DataFrame, strict: bool = True) -> DataFrame:
     )
     looked_up = (
         drafts.withColumn("cleaned_sql", clean_draft(F.col("sql_text")))
-        .withColumn("verb", F.coalesce(*verbs))
+        .withColumn("lowered", F.lower("cleaned_sql"))
+        .withColumn("verb", F.when(any_verb, which))
         .withColumn("foreign_tables", foreign)
         .withColumn("refused", refused)
     )

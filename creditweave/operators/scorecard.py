@@ -89,24 +89,21 @@ def top_drivers(scores: DataFrame, features: list[str] = FEATURES) -> DataFrame:
     """The prediction row: three largest contributions, with their features.
 
     Largest first, whatever the sign; equal contributions follow feature order.
-    The natural order of the struct does the sorting, so no lambda is run.
+    Contributions are published at six decimals, so each one and its position
+    fit a single long, and the row's sort is one over primitives.
     """
-    entries = F.array(
-        *[
-            F.struct(
-                (0.0 - F.col("contributions")[i]).alias("negated"),
-                F.lit(i).alias("position"),
-                F.lit(name).alias("feature"),
-            )
-            for i, name in enumerate(features)
-        ]
-    )
-    ranked = scores.select(ID, "predicted_pd", F.array_sort(entries).alias("ranked"))
+    size, unit = len(features), float(10**DIGITS)
+    packed = [
+        F.rint(F.col("contributions")[i] * unit).cast("bigint") * size + (size - 1 - i) for i in range(size)
+    ]
+    ranked = scores.select(ID, "predicted_pd", F.sort_array(F.array(*packed), asc=False).alias("ranked"))
+    names = F.array(*[F.lit(f) for f in features])
     columns = []
     for i in (1, 2, 3):
         entry = F.col("ranked")[i - 1]
+        spare = F.pmod(entry, F.lit(size))
         columns += [
-            entry["feature"].alias(f"top{i}_feature"),
-            (0.0 - entry["negated"]).alias(f"top{i}_shap"),
+            names[(F.lit(size - 1) - spare).cast("int")].alias(f"top{i}_feature"),
+            ((entry - spare) / size / unit).alias(f"top{i}_shap"),
         ]
     return ranked.select(ID, "predicted_pd", *columns)

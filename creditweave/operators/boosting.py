@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from creditweave.functions.numbers import round_to
 from creditweave.operators.split import select_share
-from creditweave.session import checkpoint_dir
+from creditweave.session import checkpoint_dir, cut_lineage
 from creditweave.settings import CATEGORICAL, ID, NUMERIC_FEATURES, TARGET
 
 # What stands in for a missing number; its indicator tells it from a real one.
@@ -26,7 +26,7 @@ SLOT_FEATURE = [CATEGORICAL, *NUMERIC_FEATURES, *NUMERIC_FEATURES]
 
 @dataclass(frozen=True)
 class BoostingParams:
-    """Tree count, learning rate, row and column shares.
+    """Tree count, learning rate, row and column shares, patience.
 
     A tree of depth 5 has about the 31 leaves asked for.
     """
@@ -36,7 +36,7 @@ class BoostingParams:
     depth: int = 5
     row_share: float = 0.8
     column_share: float = 0.8
-    tolerance: float = 0.0
+    patience: int = 50
     seed: int = 42
     max_categories: int = 64
 
@@ -65,32 +65,46 @@ def encode(mart: DataFrame, encoder: PipelineModel) -> DataFrame:
     return encoder.transform(numeric_frame(mart))
 
 
+def best_iteration(losses: list[float], patience: int) -> int:
+    """Trees to keep: the best count seen before ``patience`` trees without gain."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
 def fit_boosted(train: DataFrame, params: BoostingParams = BoostingParams()) -> tuple[PipelineModel, GBTClassificationModel]:
     """Fit on ``train`` rows; a tenth of them is set aside to stop early.
 
     The rows that decide when to stop are neither trained on nor used later to
-    calibrate or to evaluate. Spark stops on the validation loss.
+    calibrate or to evaluate. They are judged by log-loss, which Spark reports
+    for every number of trees in one pass.
     """
     checkpoint_dir(train.sparkSession)
-    encoder = fit_encoder(train)
-    marked = select_share(train, 0.1, f"early-stop-{params.seed}", "validation")
+    marked = cut_lineage(select_share(train, 0.1, f"early-stop-{params.seed}", "watched"))
+    encoder = fit_encoder(marked)
     # Boosting passes over the rows once per tree level: keep the vectors only.
-    rows = encode(marked, encoder).select("features", F.col(TARGET).cast("double").alias("label"), "validation").persist()
+    rows = encode(marked, encoder).select("features", F.col(TARGET).cast("double").alias("label"), "watched")
+    fitted, watched = rows.where("not watched").drop("watched").persist(), rows.where("watched")
     booster = GBTClassifier(
         maxIter=params.max_trees,
         stepSize=params.learning_rate,
         maxDepth=params.depth,
         subsamplingRate=params.row_share,
         featureSubsetStrategy=str(params.column_share),
-        validationIndicatorCol="validation",
-        validationTol=params.tolerance,
         maxBins=max(32, params.max_categories),
         checkpointInterval=10,
-        cacheNodeIds=True,
         seed=params.seed,
     )
-    model = booster.fit(rows)
-    rows.unpersist()
+    model = booster.fit(fitted)
+    keep = best_iteration(list(model.evaluateEachIteration(watched)), params.patience)
+    if keep < params.max_trees:
+        # Trees are drawn from one seed in order: this is the same model, cut off.
+        model = booster.fit(fitted, {booster.maxIter: keep})
+    fitted.unpersist()
     return encoder, model
 
 

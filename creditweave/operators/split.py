@@ -3,11 +3,15 @@
 Membership is decided by a hash of the id, so no random state is involved,
 and exact sizes come from selecting one threshold per stratum instead of
 sorting the table: count rows per hash prefix, find the prefix where the quota
-runs out, and order only the rows of that one prefix.
+runs out, and order only the rows of that one prefix. What reaches the driver
+is one row per stratum; the split itself is then a comparison with literals,
+a narrow step that costs nothing however often it is read.
 """
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from creditweave.settings import ID, TARGET
@@ -25,25 +29,56 @@ def _known(target: str, strata: tuple) -> Column:
     return F.when(F.col(target).isin(list(strata)), F.col(target))
 
 
-def _quotas(counts: DataFrame, share: float) -> DataFrame:
-    """Selected rows per stratum: the total is rounded up, then shared out in
+def quotas(sizes: dict, share: float) -> dict:
+    """Rows to select per stratum: the total is rounded up, then shared out in
     proportion, with left-over rows going to the largest remainders."""
-    whole = Window.partitionBy()  # at most strata + 1 rows
-    sized = (
-        counts.groupBy("stratum")
-        .agg(F.sum("n").alias("rows"))
-        .withColumn("wanted", F.ceil(F.lit(share) * F.sum("rows").over(whole)))
-        .withColumn("exact", F.col("wanted") * F.col("rows") / F.sum("rows").over(whole))
-        .withColumn("base", F.floor("exact"))
-        .withColumn("spare", F.col("wanted") - F.sum("base").over(whole))
-        .withColumn(
-            "place",
-            F.row_number().over(
-                Window.orderBy((F.col("exact") - F.col("base")).desc(), F.col("stratum").asc_nulls_first())
-            ),
-        )
+    total = sum(sizes.values())
+    wanted = ceil(share * total)
+    exact = {s: wanted * n / total for s, n in sizes.items()}
+    taken = {s: int(x) for s, x in exact.items()}
+    by_remainder = sorted(sizes, key=lambda s: (taken[s] - exact[s], s is not None, s))
+    for s in by_remainder[: wanted - sum(taken.values())]:
+        taken[s] += 1
+    return taken
+
+
+def _match(column: str, value) -> Column:
+    return F.col(column).isNull() if value is None else F.col(column) == value
+
+
+def _pick(column: str, values: dict) -> Column:
+    """The literal that belongs to the row's stratum."""
+    picked = F.lit(None)
+    for stratum, value in values.items():
+        picked = F.when(_match(column, stratum), F.lit(value)).otherwise(picked)
+    return picked
+
+
+def _last_selected(hashed: DataFrame, share: float) -> dict:
+    """Per stratum, hash and id of the last row within the quota."""
+    sizes = {r[0]: r[1] for r in hashed.groupBy("stratum").count().collect()}
+    wanted = {s: q for s, q in quotas(sizes, share).items() if q > 0} if sizes else {}
+    if not wanted:
+        return {}
+    counts = hashed.groupBy("stratum", "prefix").count()
+    upto = Window.partitionBy("stratum").orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)
+    quota = _pick("stratum", wanted)
+    cuts = (
+        counts.withColumn("upto", F.sum("count").over(upto))
+        .where((F.col("upto") >= quota) & (F.col("upto") - F.col("count") < quota))
+        .select("stratum", "prefix", (quota - F.col("upto") + F.col("count")).alias("needed"))
+        .collect()
+    )
+    at_cut = F.col("prefix") == _pick("stratum", {r["stratum"]: r["prefix"] for r in cuts})
+    # Only rows of the cut prefix are ordered: 1 in 65,536 of a stratum.
+    nth = F.row_number().over(Window.partitionBy("stratum").orderBy("hash", "id"))
+    last = (
+        hashed.where(at_cut)
+        .withColumn("nth", nth)
+        .where(F.col("nth") == _pick("stratum", {r["stratum"]: r["needed"] for r in cuts}))
+        .collect()
     )
-    return sized.select("stratum", (F.col("base") + (F.col("place") <= F.col("spare")).cast("int")).alias("quota"))
+    return {r["stratum"]: (r["hash"], r["id"]) for r in last}
 
 
 def select_share(
@@ -58,45 +93,22 @@ def select_share(
 ) -> DataFrame:
     """Add a boolean column that is true for exactly ``share`` of each stratum.
 
-    The table is read three times, twice for key and target only; nothing
-    wider than a hash prefix count is shuffled. ``key`` has to be unique.
-    With ``among``, only rows where that column is true take part.
+    Three passes over key and target come before; nothing wider than a count
+    per hash prefix is shuffled. ``key`` has to be unique. With ``among``, only
+    rows where that column is true take part.
     """
     taking_part = F.lit(True) if among is None else F.col(among)
-    hashed = df.where(taking_part).select(
-        F.col(key).alias("_id"), _known(target, strata).alias("stratum"), hash_rank(salt, key).alias("_hash")
-    ).withColumn("_prefix", F.substring("_hash", 1, PREFIX))
-    counts = hashed.groupBy("stratum", "_prefix").agg(F.count(F.lit(1)).alias("n"))
-    upto = Window.partitionBy("stratum").orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)
-    # At most one row per stratum, so at most strata + 1 rows: safe to broadcast.
-    cut = (
-        counts.withColumn("upto", F.sum("n").over(upto))
-        .withColumnRenamed("stratum", "_stratum")
-        .join(F.broadcast(_quotas(counts, share)), F.col("_stratum").eqNullSafe(F.col("stratum")))
-        .where((F.col("upto") >= F.col("quota")) & (F.col("upto") - F.col("n") < F.col("quota")))
-        .select(
-            F.col("_stratum").alias("cut_stratum"),
-            F.col("_prefix").alias("cut_prefix"),
-            (F.col("quota") - F.col("upto") + F.col("n")).alias("needed"),
-        )
-    )
-    # Only rows of the cut prefix are ordered: 1 in 65,536 of a stratum.
-    in_order = Window.partitionBy("stratum").orderBy("_hash", "_id")
-    last = (
-        hashed.join(
-            F.broadcast(cut),
-            F.col("stratum").eqNullSafe(F.col("cut_stratum")) & (F.col("_prefix") == F.col("cut_prefix")),
-        )
-        .withColumn("nth", F.row_number().over(in_order))
-        .where(F.col("nth") == F.col("needed"))
-        .select(
-            F.col("stratum").alias("_last_stratum"),
-            F.struct(F.col("_hash").alias("h"), F.col("_id").alias("i")).alias("_last"),
-        )
+    hashed = (
+        df.where(taking_part)
+        .select(F.col(key).alias("id"), _known(target, strata).alias("stratum"), hash_rank(salt, key).alias("hash"))
+        .withColumn("prefix", F.substring("hash", 1, PREFIX))
     )
-    mine = F.struct(hash_rank(salt, key).alias("h"), F.col(key).alias("i"))
-    joined = df.join(F.broadcast(last), _known(target, strata).eqNullSafe(F.col("_last_stratum")), "left")
-    return joined.select(*[df[c] for c in df.columns], F.coalesce(taking_part & (mine <= F.col("_last")), F.lit(False)).alias(flag))
+    last = _last_selected(hashed, share)
+    marked = df.withColumns({"_stratum": _known(target, strata), "_hash": hash_rank(salt, key)})
+    last_hash = _pick("_stratum", {s: h for s, (h, _) in last.items()})
+    last_id = _pick("_stratum", {s: i for s, (_, i) in last.items()})
+    within = (F.col("_hash") < last_hash) | ((F.col("_hash") == last_hash) & (F.col(key) <= last_id))
+    return marked.withColumn(flag, taking_part & F.coalesce(within, F.lit(False))).drop("_stratum", "_hash")
 
 
 def holdout_split(mart: DataFrame, test_share: float = 0.2, seed: int = 42) -> DataFrame:

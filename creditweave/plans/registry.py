@@ -32,7 +32,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Day the first payment load ends with, and the boosted model of the queries.
 LOADED_UNTIL = -1200
-QUERY_TREES = boosting.BoostingParams(max_trees=10, depth=4, tolerance=0.0)
+QUERY_TREES = boosting.BoostingParams(max_trees=8, depth=4)
 
 
 # -- tables the queries start from ----------------------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel
@@ -23,6 +23,7 @@ class Trained:
     calibrator: IsotonicRegressionModel
     folds: DataFrame
     evaluated: DataFrame
+    params: boosting.BoostingParams
 
 
 def train(mart: DataFrame, policy: Policy = Policy(), params: boosting.BoostingParams = boosting.BoostingParams()) -> Trained:
@@ -33,7 +34,7 @@ def train(mart: DataFrame, policy: Policy = Policy(), params: boosting.BoostingP
     scores = boosting.boosted_scores(holdout, encoder, booster)
     scored = cut_lineage(holdout.join(scores, ID))
     calibrator = calibration.fit_calibrator(scored.where("fold = 'calibration'"))
-    return Trained(encoder, booster, calibrator, folds, calibration.calibrate(scored, calibrator))
+    return Trained(encoder, booster, calibrator, folds, calibration.calibrate(scored, calibrator), params)
 
 
 def evaluation(trained: Trained, run_id: str) -> DataFrame:
@@ -46,14 +47,17 @@ def evaluation(trained: Trained, run_id: str) -> DataFrame:
     measured = trained.evaluated.where("fold = 'evaluation'")
     calibrated = metrics.score_counts(measured, "calibrated_pd", TARGET)
     brier = metrics.brier(measured, TARGET, {"brier_raw": "predicted_pd", "brier_calibrated": "calibrated_pd"})
-    trees = trained.booster.getNumTrees
-    best = trained.folds.sparkSession.createDataFrame([(float(trees),)], "best_iteration double")
+    spark = trained.folds.sparkSession
+    best = spark.createDataFrame([(float(trained.booster.getNumTrees),)], "best_iteration double")
+    knobs = {k: float(v) for k, v in asdict(trained.params).items()}
+    params = spark.createDataFrame([tuple(knobs.values())], ", ".join(f"{k} double" for k in knobs))
     return (
         long_metrics(metrics.auc(holdout), run_id, "training")
         .unionByName(long_metrics(metrics.ks(holdout), run_id, "training"))
         .unionByName(long_metrics(best, run_id, "training"))
         .unionByName(long_metrics(metrics.auc(calibrated).withColumnRenamed("auc", "auc_eval"), run_id, "calibration"))
         .unionByName(long_metrics(brier, run_id, "calibration"))
+        .unionByName(long_metrics(params, run_id, "params"))
     )
 
 

@@ -43,6 +43,12 @@ def label_dictionary(spark: SparkSession, path: str | None = None) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
+def as_views(frames: dict[str, DataFrame]) -> None:
+    """Expose staged frames to SQL as lazy views."""
+    for name, df in frames.items():
+        df.createOrReplaceTempView(name)
+
+
 def is_small(df: DataFrame, limit: int = SMALL_TABLE_ROWS) -> bool:
     """Whether ``df`` is proven to hold at most ``limit`` rows."""
     return len(df.select(F.lit(1)).take(limit + 1)) <= limit

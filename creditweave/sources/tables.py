@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from creditweave.settings import FEATURES
@@ -39,7 +40,8 @@ def label_dictionary(spark: SparkSession, path: str | None = None) -> DataFrame:
     """Feature names and phrases: the built-in ones, or a two-column CSV file."""
     schema = schemas.struct(schemas.FEATURE_LABELS)
     if path is None:
-        return spark.createDataFrame(list(LABELS.items()), schema)
+        columns = {"feature_name": list(LABELS), "feature_label": list(LABELS.values())}
+        return spark.createDataFrame(pa.table(columns), schema)
     return spark.read.schema(schema).option("header", True).csv(path)
 
 

@@ -93,10 +93,12 @@ def top_drivers(scores: DataFrame, features: list[str] = FEATURES) -> DataFrame:
     fit a single long, and the row's sort is one over primitives.
     """
     size, unit = len(features), float(10**DIGITS)
-    packed = [
-        F.rint(F.col("contributions")[i] * unit).cast("bigint") * size + (size - 1 - i) for i in range(size)
-    ]
-    ranked = scores.select(ID, "predicted_pd", F.sort_array(F.array(*packed), asc=False).alias("ranked"))
+    # A lambda over the array, not a column per feature: unrolled, the generated
+    # method outgrows what the JVM compiles, and the whole stage is interpreted.
+    packed = F.transform(
+        "contributions", lambda c, i: F.rint(c * unit).cast("bigint") * size + (size - 1 - i)
+    )
+    ranked = scores.select(ID, "predicted_pd", F.sort_array(packed, asc=False).alias("ranked"))
     names = F.array(*[F.lit(f) for f in features])
     columns = []
     for i in (1, 2, 3):

@@ -14,6 +14,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 import __spark_entry__ as spark_entry  # noqa: E402
 from creditweave.session import local_session  # noqa: E402
 
+SPARK_TYPE = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean"}
 TABLES = "region nation customer supplier part orders lineitem".split()
 
 
@@ -43,6 +44,10 @@ def differences(spark, db, folder: str, name: str) -> list[str]:
     want_names = [c[0] for c in want.description]
     if sorted(got.columns) != sorted(want_names):
         return [f"columns {sorted(got.columns)} != {sorted(want_names)}"]
+    kinds = {c[0]: SPARK_TYPE.get(str(c[1]), str(c[1])) for c in want.description}
+    typed = [(n, t, kinds[n]) for n, t in got.dtypes if t != kinds[n]]
+    if typed:
+        return [f"types {typed}"]
     mine, theirs = normalised(got.columns, got.collect()), normalised(want_names, want.fetchall())
     if len(mine) != len(theirs):
         return [f"rows {len(mine)} != {len(theirs)}", *map(str, (mine[:2], theirs[:2]))]

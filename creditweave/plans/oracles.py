@@ -368,14 +368,66 @@ def _split(source: str, share: float, salt: str, flag: str) -> str:
     """
 
 
-HASH_SPLIT = f"""
-    with tested as ({_split("stage_applications", 0.2, "holdout-42", "in_test")}),
+def _folds(source: str) -> str:
+    return f"""
+    with tested as ({_split(source, 0.2, "holdout-42", "in_test")}),
     held as (select * from tested where in_test),
     halved as ({_split("held", 0.5, "evaluation-42", "in_eval")})
-    select t.application_id, t.is_default, case
+    select t.*, case
         when h.in_eval then 'evaluation' when t.in_test then 'calibration' else 'train'
     end as fold
     from tested as t left join halved as h on t.application_id = h.application_id
+    """
+
+
+HASH_SPLIT = f"select application_id, is_default, fold from ({_folds('stage_applications')})"
+
+# Isotonic fit by the max-min formula over all runs of adjacent scores; between
+# fitted scores the map is linear, beyond them constant.
+ISOTONIC = f"""
+    with folds as materialized ({_folds("scores")}),
+    points as materialized (
+        select
+            row_number() over (order by predicted_pd) as i, predicted_pd as x,
+            sum(count(*)) over (order by predicted_pd) as w,
+            sum(sum(is_default)) over (order by predicted_pd) as y
+        from folds where fold = 'calibration' group by predicted_pd
+    ),
+    runs as (
+        select a.i as a, b.i as b, (b.y - coalesce(p.y, 0)) / cast(b.w - coalesce(p.w, 0) as double) as mean
+        from points as a join points as b on b.i >= a.i left join points as p on p.i = a.i - 1
+    ),
+    fitted as materialized (
+        select x, max(least_after) as y
+        from (
+            select a, b, min(mean) over (
+                partition by a order by b rows between current row and unbounded following
+            ) as least_after
+            from runs
+        ) join points on b = i
+        group by x
+    ),
+    placed as (
+        select f.application_id, f.predicted_pd, f.is_default, f.contract_type, l.x as x0, l.y as y0, u.x as x1, u.y as y1
+        from (select * from folds where fold = 'evaluation') as f
+        asof left join fitted as l on f.predicted_pd >= l.x
+        asof left join fitted as u on f.predicted_pd <= u.x
+    )
+    select
+        application_id, predicted_pd, is_default, contract_type,
+        {rounded("case when x0 is null then y1 when x1 is null or x0 = x1 then y0"
+                 " else y0 + (y1 - y0) * (predicted_pd - x0) / (x1 - x0) end", 9)} as calibrated_pd
+    from placed
+"""
+_SQUARED = "avg(({0} - is_default) * ({0} - is_default))"
+VERDICT = f"""
+    select *, case when brier_calibrated < brier_raw then 'better' else 'worse' end as verdict
+    from (
+        select
+            {rounded(_SQUARED.format("predicted_pd"))} as brier_raw,
+            {rounded(_SQUARED.format("calibrated_pd"))} as brier_calibrated
+        from ({ISOTONIC})
+    )
 """
 
 # -- checks ----------------------------------------------------------------
@@ -565,6 +617,8 @@ FINAL = {
     "slice_metrics": SLICES,
     "metric_log": METRIC_LOG,
     "hash_split": HASH_SPLIT,
+    "isotonic_scores": ISOTONIC,
+    "calibration_verdict": VERDICT,
     "draft_sql_audit": AUDIT,
     "answer_scores": ANSWERS,
     "answer_accuracy": f"""

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from creditweave.functions.numbers import round_to
 from creditweave.operators import (
     attribution,
     audit,
@@ -242,7 +243,8 @@ def boosted_top_drivers(spark, d):
 def isotonic_scores(spark, d):
     folds = cut_lineage(split.holdout_split(labelled_scores(spark, d)))
     model = calibration.fit_calibrator(folds.where("fold = 'calibration'"))
-    return calibration.calibrate(folds.where("fold = 'evaluation'"), model).drop("fold")
+    calibrated = calibration.calibrate(folds.where("fold = 'evaluation'"), model).drop("fold")
+    return calibrated.withColumn("calibrated_pd", round_to(F.col("calibrated_pd"), 9))
 
 
 def calibration_verdict(spark, d):

@@ -7,9 +7,36 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from creditweave.sources.schemas import struct
 
 
+# -- rules on one row: true where the row is at fault -----------------------
+
+
+def is_missing(column: str) -> Column:
+    return F.col(column).isNull()
+
+
+def not_accepted(column: str, values: list) -> Column:
+    """Nulls pass."""
+    return ~F.col(column).isin(values)
+
+
+def outside(column: str, low: float | None, high: float | None) -> Column:
+    """Beyond a closed, maybe open-ended range. Nulls pass; NaN does not,
+    although it compares above every number."""
+    c = F.col(column)
+    bad = F.isnan(c.cast("double"))
+    if low is not None:
+        bad = bad | (c < low)
+    if high is not None:
+        bad = bad | (c > high)
+    return bad
+
+
+# -- checks: offending rows ---------------------------------------------------
+
+
 def not_null(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """``(key, column_name)`` for every null, all columns in one pass."""
-    names = [F.when(F.col(c).isNull(), F.lit(c)) for c in columns]
+    names = [F.when(is_missing(c), F.lit(c)) for c in columns]
     return df.select(key, F.explode(F.array_compact(F.array(*names))).alias("column_name"))
 
 
@@ -21,19 +48,16 @@ def unique(df: DataFrame, key: str) -> DataFrame:
 
 def accepted_values(df: DataFrame, key: str, column: str, values: list) -> DataFrame:
     """``(key, column)`` where the value is not accepted; nulls pass."""
-    return df.where(~F.col(column).isin(values)).select(key, column)
+    return df.where(not_accepted(column, values)).select(key, column)
 
 
 def accepted_range(
     df: DataFrame, key: str, ranges: dict[str, tuple[float | None, float | None]]
 ) -> DataFrame:
-    """``(key, column_name, value)`` outside closed, maybe open-ended ranges.
-
-    Nulls pass; NaN does not, although it compares above every number.
-    """
+    """``(key, column_name, value)`` outside closed, maybe open-ended ranges."""
     rows = [
         F.when(
-            _outside(F.col(c), low, high),
+            outside(c, low, high),
             F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")),
         )
         for c, (low, high) in ranges.items()
@@ -42,15 +66,6 @@ def accepted_range(
     return found.select(key, "bad.column_name", "bad.value")
 
 
-def _outside(column: Column, low: float | None, high: float | None) -> Column:
-    bad = F.isnan(column.cast("double"))
-    if low is not None:
-        bad = bad | (column < low)
-    if high is not None:
-        bad = bad | (column > high)
-    return bad
-
-
 def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """``(child_key, n)`` for non-null keys that the parent lacks.
 
@@ -95,6 +110,9 @@ def contract(df: DataFrame, wanted: str | T.StructType) -> DataFrame:
     return df.agg(F.array(*counts).alias("rows")).select(F.inline("rows"))
 
 
+# -- gates ----------------------------------------------------------------------
+
+
 class CheckFailed(Exception):
     """A gate found offending rows."""
 
@@ -110,6 +128,14 @@ def require_empty(name: str, offending: DataFrame) -> None:
         raise CheckFailed(name, rows)
 
 
+def require_rows(table: str, df: DataFrame, rules: dict[str, Column]) -> None:
+    """Raise if any row breaks any rule; all rules are counted in one pass."""
+    counts = df.agg(*[F.count_if(rule).alias(name) for name, rule in rules.items()]).first().asDict()
+    broken = {name: n for name, n in counts.items() if n}
+    if broken:
+        raise CheckFailed(f"{table} {', '.join(broken)}", sum(broken.values()))
+
+
 def require_contract(name: str, df: DataFrame, wanted: str | T.StructType) -> None:
     breaks = contract_breaks(df, wanted)
     if breaks:

@@ -5,15 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from creditweave.operators import checks, grounding, marts, reasons, staging
 from creditweave.session import cut_lineage
-from creditweave.settings import ID, Policy
-from creditweave.sources.tables import label_dictionary
+from creditweave.settings import ID, TARGET, Policy
+from creditweave.sources.tables import label_dictionary, scan
 from creditweave.sources.versioned import VersionedTable
 
-PD_RANGE = {"predicted_pd": (0, 1)}
+
+def bronze_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The raw tables below ``root``, one Parquet folder each."""
+    names = ("application_train", "bureau", "installments_payments")
+    return {name: scan(spark, f"{root}/{name}", name) for name in names}
+
+
+def present(*columns: str) -> dict[str, Column]:
+    return {f"{c} not null": checks.is_missing(c) for c in columns}
 
 
 def gold_tables(spark: SparkSession, root: str) -> dict[str, VersionedTable]:
@@ -30,15 +38,20 @@ def gold_tables(spark: SparkSession, root: str) -> dict[str, VersionedTable]:
 
 
 def check_staged(applications: DataFrame, credits: DataFrame, payments: DataFrame) -> None:
-    gate = checks.require_empty
-    gate("applications not null", checks.not_null(applications, ID, [ID, "is_default", "income_total"]))
-    gate("applications unique", checks.unique(applications, ID))
-    gate("applications is_default", checks.accepted_values(applications, ID, "is_default", [0, 1]))
-    gate("applications range", checks.accepted_range(applications, ID, {"employment_years": (0, 100)}))
-    credit = "bureau_credit_id"
-    gate("credits not null", checks.not_null(credits, credit, [credit, ID, "credit_status"]))
-    gate("credits unique", checks.unique(credits, credit))
-    gate("payments not null", checks.not_null(payments, "payment_id", ["payment_id", ID, "installment_due_day"]))
+    """One pass per table for the row rules, one shuffle per key for uniqueness."""
+    checks.require_rows(
+        "applications",
+        applications,
+        {
+            **present(ID, TARGET, "income_total"),
+            "is_default accepted": checks.not_accepted(TARGET, [0, 1]),
+            "employment_years range": checks.outside("employment_years", 0, 100),
+        },
+    )
+    checks.require_empty("applications unique", checks.unique(applications, ID))
+    checks.require_rows("credits", credits, present("bureau_credit_id", ID, "credit_status"))
+    checks.require_empty("credits unique", checks.unique(credits, "bureau_credit_id"))
+    checks.require_rows("payments", payments, present("payment_id", ID, "installment_due_day"))
 
 
 def build_features(spark: SparkSession, bronze: dict[str, DataFrame], root: str) -> dict[str, VersionedTable]:
@@ -50,15 +63,18 @@ def build_features(spark: SparkSession, bronze: dict[str, DataFrame], root: str)
 
     tables = gold_tables(spark, root)
     rollup = marts.credit_rollup(credits)
-    checks.require_empty("rollup not null", checks.not_null(rollup, ID, [ID]))
-    checks.require_empty("rollup range", checks.accepted_range(rollup, ID, {"prior_credit_count": (1, 1000)}))
+    too_many = checks.outside("prior_credit_count", 1, 1000)
+    checks.require_rows("rollup", rollup, {**present(ID), "prior_credit_count range": too_many})
     tables["applications"].refresh(marts.applicant_features(applications, rollup))
-    mart = tables["applications"].read()
-    checks.require_empty("mart not null", checks.not_null(mart, ID, [ID, "is_default", "prior_credit_count"]))
-    checks.require_empty("mart is_default", checks.accepted_values(mart, ID, "is_default", [0, 1]))
-    checks.require_empty(
-        "mart range",
-        checks.accepted_range(mart, ID, {"prior_credit_count": (0, None), "active_credit_count": (0, None)}),
+    checks.require_rows(
+        "mart",
+        tables["applications"].read(),
+        {
+            **present(ID, TARGET, "prior_credit_count"),
+            "is_default accepted": checks.not_accepted(TARGET, [0, 1]),
+            "prior_credit_count range": checks.outside("prior_credit_count", 0, None),
+            "active_credit_count range": checks.outside("active_credit_count", 0, None),
+        },
     )
     tables["payments"].upsert(payments)
     return tables
@@ -76,24 +92,30 @@ def build_decisions(
     gate = checks.require_empty
     tables = gold_tables(spark, root)
     labels = label_dictionary(spark) if labels is None else labels
-    gate("labels not null", checks.not_null(labels, "feature_name", ["feature_name", "feature_label"]))
+    checks.require_rows("labels", labels, present("feature_name", "feature_label"))
     for column in ("feature_name", "feature_label"):
         gate(f"labels unique {column}", checks.unique(labels, column))
 
     mart = tables["applications"].read()
     staged = staging.stage_predictions(predictions)
-    gate("predictions not null", checks.not_null(staged, ID, [ID, "predicted_pd", "top1_feature"]))
+    checks.require_rows(
+        "predictions",
+        staged,
+        {
+            **present(ID, "predicted_pd", "top1_feature"),
+            "predicted_pd range": checks.outside("predicted_pd", 0, 1),
+        },
+    )
     gate("predictions unique", checks.unique(staged, ID))
-    gate("predictions range", checks.accepted_range(staged, ID, PD_RANGE))
     gate("predictions without application", checks.orphans(staged, ID, mart, ID))
     tables["scored"].refresh(marts.scored_applicants(mart, staged))
 
     drivers = marts.declined_drivers(tables["scored"].read(), labels, policy)
     named = [f"top{i}_label" for i in (1, 2, 3)]
-    gate("drivers not null", checks.not_null(drivers, ID, [ID, "predicted_pd", *named, "driver_list"]))
+    checks.require_rows("drivers", drivers, present(ID, "predicted_pd", *named, "driver_list"))
     # Pinned, so that the gates read the very texts that get published.
     explained = cut_lineage(reasons.with_reason(drivers, write_reason))
-    gate("reasons not null", checks.not_null(explained, ID, ["adverse_action_reason"]))
+    checks.require_rows("reasons", explained, present("adverse_action_reason"))
     gate("reasons cite foreign factors", grounding.ungrounded_citations(explained, labels))
     tables["declines"].refresh(explained)
     return tables

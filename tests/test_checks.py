@@ -63,3 +63,11 @@ def test_gate_names_the_check_and_counts(spark):
         checks.require_empty("keys", checks.unique(df, "k"))
     assert failure.value.rows == 1
     checks.require_empty("keys", checks.unique(df.distinct(), "k"))
+
+
+def test_row_rules_are_counted_together(spark):
+    df = spark.createDataFrame([(1, None), (None, 2.0), (3, 0.5)], "a int, b double")
+    rules = {"a not null": checks.is_missing("a"), "b range": checks.outside("b", 0, 1), "a accepted": checks.not_accepted("a", [1, 3])}
+    with pytest.raises(checks.CheckFailed, match="t a not null, b range: 2 offending"):
+        checks.require_rows("t", df, rules)
+    checks.require_rows("t", df.where("a = 3"), rules)

@@ -39,12 +39,29 @@ def test_build_end_to_end(spark, built):
 
 def test_bad_application_stops_the_build(spark, bronze, folder):
     broken = bronze["application_train"].withColumn("target", F.when(F.col("sk_id_curr") == 7, 3).otherwise(F.col("target")))
-    with pytest.raises(CheckFailed, match="applications is_default: 1 "):
+    with pytest.raises(CheckFailed, match="applications is_default accepted: 1 "):
         build.build_features(spark, {**bronze, "application_train": broken}, folder)
     with pytest.raises(ValueError, match="no version"):
         build.gold_tables(spark, folder)["applications"].read()
 
 
+def test_bronze_tables_are_scanned_with_declared_types(spark, bronze, folder):
+    for name, df in bronze.items():
+        df.write.parquet(f"{folder}/{name}")
+    raw = build.bronze_tables(spark, folder)
+    assert {n: df.schema.simpleString() for n, df in raw.items()} == {
+        n: df.schema.simpleString() for n, df in bronze.items()
+    }
+    assert raw["bureau"].count() == 6000
+
+
+def test_missing_label_stops_the_build(spark, built):
+    labels = tables.label_dictionary(spark).where("feature_name <> 'max_days_overdue'")
+    predictions = registry.linear_top_drivers(spark, SMALL)
+    with pytest.raises(CheckFailed, match="drivers top"):
+        build.build_decisions(spark, predictions, built[0], labels=labels)
+
+
 def test_orphan_prediction_stops_the_build(spark, built):
     stray = registry.linear_top_drivers(spark, SMALL).withColumn(ID, F.col(ID) + 1)
     with pytest.raises(CheckFailed, match="predictions without application: 1 "):

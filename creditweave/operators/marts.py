@@ -10,6 +10,15 @@ from creditweave.operators.ordering import numbered
 from creditweave.settings import ID, Policy
 from creditweave.sources.tables import broadcast_if_small
 
+# Rollup columns; zero for applicants without history.
+HISTORY = [
+    "prior_credit_count",
+    "active_credit_count",
+    "total_credit_debt",
+    "total_credit_overdue",
+    "max_days_overdue",
+]
+
 
 def credit_rollup(credits: DataFrame) -> DataFrame:
     """Many credits to one row per applicant.
@@ -38,11 +47,7 @@ def applicant_features(applications: DataFrame, rollup: DataFrame) -> DataFrame:
         "annuity_amount",
         "age_years",
         "employment_years",
-        F.coalesce("prior_credit_count", F.lit(0)).alias("prior_credit_count"),
-        F.coalesce("active_credit_count", F.lit(0)).alias("active_credit_count"),
-        F.coalesce("total_credit_debt", F.lit(0)).alias("total_credit_debt"),
-        F.coalesce("total_credit_overdue", F.lit(0)).alias("total_credit_overdue"),
-        F.coalesce("max_days_overdue", F.lit(0)).alias("max_days_overdue"),
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in HISTORY],
         safe_divide(F.col("credit_amount"), income).alias("credit_to_income_ratio"),
         safe_divide(F.col("annuity_amount"), income).alias("annuity_to_income_ratio"),
     )

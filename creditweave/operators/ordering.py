@@ -23,15 +23,13 @@ def running_totals(
     row. ``order`` has to be unique within ``by``, else ties are cut at will.
     """
     by = by or []
-    # The range of a row depends on sampled bounds: pin it before it is used
-    # on both sides of the join below.
-    ranged = cut_lineage(
-        df.repartitionByRange(*by, *order).withColumn(RANGE, F.spark_partition_id())
-    )
+    ranged = df.repartitionByRange(*by, *order).withColumn(RANGE, F.spark_partition_id())
     inside = Window.partitionBy(*by, RANGE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = ranged.select("*", *[F.sum(c).over(inside).alias(name) for name, c in totals.items()])
+    # The range of a row depends on sampled bounds: pin it before it is used on
+    # both sides of the join below. Readers then only add an offset.
+    local = cut_lineage(ranged.select("*", *[F.sum(c).over(inside).alias(name) for name, c in totals.items()]))
     # One row per range and group, so at most partitions + groups rows.
-    per_range = ranged.groupBy(*by, RANGE).agg(
+    per_range = local.groupBy(*by, RANGE).agg(
         *[F.sum(c).alias(f"_sum_{name}") for name, c in totals.items()]
     )
     earlier = Window.partitionBy(*by).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from creditweave.operators.audit import ALLOWED_TABLES, FORBIDDEN_VERBS
+from creditweave.operators.marts import HISTORY
 from creditweave.operators.scorecard import DEFAULT_SCORECARD
 from creditweave.plans.registry import DRAFTS, LOADED_UNTIL
 from creditweave.settings import CATEGORICAL, FEATURES
@@ -108,19 +109,15 @@ ROLLUP = """
     group by application_id
 """
 
-MART = """
+_HISTORY = ", ".join(f"coalesce({c}, 0) as {c}" for c in HISTORY)
+_RATIOS = ", ".join(
+    f"case when income_total <> 0 then {c}_amount / income_total end as {c}_to_income_ratio" for c in ("credit", "annuity")
+)
+MART = f"""
     select
-        a.application_id, is_default, contract_type, income_total, credit_amount,
-        annuity_amount, age_years, employment_years,
-        coalesce(prior_credit_count, 0) as prior_credit_count,
-        coalesce(active_credit_count, 0) as active_credit_count,
-        coalesce(total_credit_debt, 0) as total_credit_debt,
-        coalesce(total_credit_overdue, 0) as total_credit_overdue,
-        coalesce(max_days_overdue, 0) as max_days_overdue,
-        credit_amount / nullif(income_total, 0) as credit_to_income_ratio,
-        annuity_amount / nullif(income_total, 0) as annuity_to_income_ratio
-    from stage_applications as a
-    left join credit_rollup as b on a.application_id = b.application_id
+        application_id, is_default, contract_type, income_total, credit_amount,
+        annuity_amount, age_years, employment_years, {_HISTORY}, {_RATIOS}
+    from stage_applications left join credit_rollup using (application_id)
 """
 
 
@@ -167,30 +164,23 @@ PREDICTIONS = f"""
     where place <= 3
     group by application_id
 """
-SCORED = """
-    select m.*, p.* exclude (application_id)
-    from applicant_features as m join stage_predictions as p on m.application_id = p.application_id
-"""
+SCORED = "select * from applicant_features join stage_predictions using (application_id)"
 LABEL_ROWS = ", ".join(f"({text(f)}, {text(label)})" for f, label in LABELS.items())
 
 
-def _declined(limit: str) -> str:
+_LABELLED = ", ".join(
+    f"(select feature_label from feature_labels where feature_name = top{i}_feature) as top{i}_label" for i in (1, 2, 3)
+)
+
+
+def _declined(cap: str) -> str:
     return f"""
-    select
-        r.application_id, r.predicted_pd, r.decline_rank,
-        r.top1_feature, l1.feature_label as top1_label, r.top1_shap,
-        r.top2_feature, l2.feature_label as top2_label, r.top2_shap,
-        r.top3_feature, l3.feature_label as top3_label, r.top3_shap,
-        '1. ' || l1.feature_label || '; 2. ' || l2.feature_label || '; 3. ' || l3.feature_label as driver_list
-    from (
-        select *, row_number() over (order by predicted_pd desc, application_id) as decline_rank
-        from stage_predictions
-        where predicted_pd >= 0.30
-        qualify row_number() over (order by predicted_pd desc, application_id) {limit}
-    ) as r
-    left join feature_labels as l1 on r.top1_feature = l1.feature_name
-    left join feature_labels as l2 on r.top2_feature = l2.feature_name
-    left join feature_labels as l3 on r.top3_feature = l3.feature_name
+    with ranked as (
+        select *, rank() over (order by predicted_pd desc, application_id) as decline_rank
+        from stage_predictions where predicted_pd >= 0.30
+    ),
+    labelled as (select *, {_LABELLED} from ranked where decline_rank {cap})
+    select *, format('1. {{}}; 2. {{}}; 3. {{}}', top1_label, top2_label, top3_label) as driver_list from labelled
     """
 
 
@@ -209,39 +199,35 @@ PROMPTS = """
         || '. Make no promise about later decisions and add nothing of your own.' as prompt
     from declined_drivers
 """
-SLIPS = """
+# Every phrase a reason holds, and whether it is one of the applicant's own.
+CITATIONS = r"""
     select
-        application_id, top1_label as l1, top2_label as l2, top3_label as l3,
-        lower(adverse_action_reason || case application_id % 5
+        application_id, feature_label as phrase,
+        list_contains([top1_label, top2_label, top3_label], feature_label) as own
+    from (
+        select *, lower(adverse_action_reason || case application_id % 5
             when 0 then ' We also noted applicant age.'
             when 1 then ' We do not rank applicant ages.'
             else '' end) as reason
-    from decline_reasons
-"""
-UNGROUNDED = r"""
-    select application_id, lower(feature_label) as foreign_label_cited
-    from slips cross join feature_labels
-    where regexp_matches(reason, '\b' || lower(feature_label) || '\b')
-        and lower(feature_label) not in (l1, l2, l3)
+        from decline_reasons
+    )
+    join feature_labels on regexp_matches(reason, '\b' || feature_label || '\b')
 """
-GROUNDING = r"""
+UNGROUNDED = "select application_id, phrase as foreign_label_cited from citations where not own"
+GROUNDING = """
     with per_reason as (
         select
-            application_id,
-            cast(regexp_matches(reason, '\b' || l1 || '\b') as integer)
-            + cast(regexp_matches(reason, '\b' || l2 || '\b') as integer)
-            + cast(regexp_matches(reason, '\b' || l3 || '\b') as integer) as own_cited,
-            count(*) filter (
-                where feature_label not in (l1, l2, l3) and regexp_matches(reason, '\b' || feature_label || '\b')
-            ) as foreign_cited
-        from slips cross join feature_labels
-        group by application_id, reason, l1, l2, l3
+            r.application_id,
+            count(*) filter (where own) as own_phrases,
+            count(*) filter (where not own) as other_phrases
+        from decline_reasons as r left join citations as c on r.application_id = c.application_id
+        group by r.application_id
     )
     select
         count(*) as n_reasons,
-        round(avg(own_cited), 2) as avg_own_drivers_cited,
-        cast(sum(case when own_cited >= 1 then 1 else 0 end) as bigint) as reasons_citing_any_driver,
-        cast(sum(case when foreign_cited > 0 then 1 else 0 end) as bigint) as reasons_with_foreign_factor
+        round(avg(own_phrases), 2) as avg_own_drivers_cited,
+        count(*) filter (where own_phrases > 0) as reasons_citing_any_driver,
+        count(*) filter (where other_phrases > 0) as reasons_with_foreign_factor
     from per_reason
 """
 
@@ -529,7 +515,7 @@ STEPS = {
     "feature_labels": f"select * from (values {LABEL_ROWS}) as l(feature_name, feature_label)",
     "declined_drivers": _declined("<= 500"),
     "decline_reasons": REASONS,
-    "slips": SLIPS,
+    "citations": CITATIONS,
     "first_load": FIRST_LOAD,
     "corrected": CORRECTED,
     "batch": BATCH,

@@ -88,7 +88,11 @@ def fit_boosted(train: DataFrame, params: BoostingParams = BoostingParams()) ->
     encoder = fit_encoder(marked)
     # Boosting passes over the rows once per tree level: keep the vectors only.
     rows = encode(marked, encoder).select("features", F.col(TARGET).cast("double").alias("label"), "watched")
-    fitted, watched = rows.where("not watched").drop("watched").persist(), rows.where("watched")
+    fitted, watched = rows.where("not watched").drop("watched"), rows.where("watched")
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    if fitted.rdd.getNumPartitions() < cores:
+        fitted = fitted.repartition(cores)
+    fitted = fitted.persist()
     booster = GBTClassifier(
         maxIter=params.max_trees,
         stepSize=params.learning_rate,

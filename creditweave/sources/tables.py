@@ -63,10 +63,9 @@ def broadcast_if_small(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, table: str) -> DataFrame:
     """Attach column descriptions as field metadata, which Parquet keeps."""
     texts = schemas.DESCRIPTIONS.get(table, {})
-    for column in df.columns:
-        if column in texts:
-            df = df.withMetadata(column, {"comment": texts[column]})
-    return df
+    return df.select(
+        [F.col(c).alias(c, metadata={"comment": texts[c]}) if c in texts else F.col(c) for c in df.columns]
+    )
 
 
 def write_table(

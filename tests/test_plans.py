@@ -98,14 +98,31 @@ def test_training_flow(spark, built, folder):
     assert decided["declines"].read().count() == 20
 
 
-def plan_of(df):
-    """The formatted plan: operator tree first, details after."""
+def plan_of(df, mode="formatted"):
+    """The plan as text; formatted: operator tree first, details after."""
     text = io.StringIO()
     with contextlib.redirect_stdout(text):
-        df.explain("formatted")
+        df.explain(mode)
     return text.getvalue()
 
 
+@pytest.mark.parametrize("name", ["linear_scores", "linear_top_drivers", "declined_drivers", "draft_sql_audit"])
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_generated_methods_are_small_enough_to_compile(spark, name, threshold):
+    """The JVM leaves methods beyond 8,000 bytes uncompiled."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": threshold}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        code = plan_of(registry.QUERIES[name](spark, SMALL), "codegen")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 8000
+
+
 def test_scans_read_only_what_is_needed(spark):
     plan = plan_of(registry.credit_rollup(spark, SMALL))
     schema = re.search(r"ReadSchema: struct<([^>]*)>", plan).group(1)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from creditweave.llm import exact_dedup, simhash
+import public_tokenizers
+
+from creditweave.llm import exact_dedup, language_id, simhash, token_counts
 from creditweave.llm.common import documents
 
 
@@ -14,4 +16,12 @@ def op2_simhash(spark, d):
     return simhash.simhash_components(documents(spark, d))
 
 
-QUERIES = {f.__name__: f for f in [op1_exact_dedup, op2_simhash]}
+def op4_language_id(spark, d):
+    return language_id.identify(documents(spark, d))
+
+
+def op5_token_counts(spark, d):
+    return token_counts.token_counts(documents(spark, d), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+QUERIES = {f.__name__: f for f in [op1_exact_dedup, op2_simhash, op4_language_id, op5_token_counts]}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from creditweave.llm import exact_dedup, language_id, packing, simhash, token_counts
+from creditweave.llm import exact_dedup, language_id, packing, pii, simhash, token_counts
 from creditweave.llm.common import documents
 
 
@@ -24,8 +24,12 @@ def op5_token_counts(spark, d):
     return token_counts.token_counts(documents(spark, d), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_personal_data(spark, d):
+    return pii.find_personal_data(documents(spark, d))
+
+
 def op8_packing(spark, d):
     return packing.pack(documents(spark, d), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in [op1_exact_dedup, op2_simhash, op4_language_id, op5_token_counts, op8_packing]}
+QUERIES = {f.__name__: f for f in [op1_exact_dedup, op2_simhash, op4_language_id, op5_token_counts, op7_personal_data, op8_packing]}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from creditweave.llm import exact_dedup, language_id, packing, pii, simhash, token_counts
+from creditweave.llm import exact_dedup, language_id, licenses, mixing, packing, pii, simhash, token_counts
 from creditweave.llm.common import documents
 
 
@@ -16,6 +16,10 @@ def op2_simhash(spark, d):
     return simhash.simhash_components(documents(spark, d))
 
 
+def op3_mixing(spark, d):
+    return mixing.mix(documents(spark, d))
+
+
 def op4_language_id(spark, d):
     return language_id.identify(documents(spark, d))
 
@@ -32,4 +36,8 @@ def op8_packing(spark, d):
     return packing.pack(documents(spark, d), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in [op1_exact_dedup, op2_simhash, op4_language_id, op5_token_counts, op7_personal_data, op8_packing]}
+def op9_licenses(spark, d):
+    return licenses.scan(documents(spark, d))
+
+
+QUERIES = {f.__name__: f for f in [op1_exact_dedup, op2_simhash, op3_mixing, op4_language_id, op5_token_counts, op7_personal_data, op8_packing, op9_licenses]}

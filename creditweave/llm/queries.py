@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from creditweave.llm import exact_dedup, language_id, licenses, mixing, packing, pii, simhash, token_counts
+from creditweave.llm import exact_dedup, language_id, licenses, mixing, order_minhash, packing, pii, simhash, token_counts
 from creditweave.llm.common import documents
 
 
@@ -40,4 +40,8 @@ def op9_licenses(spark, d):
     return licenses.scan(documents(spark, d))
 
 
-QUERIES = {f.__name__: f for f in [op1_exact_dedup, op2_simhash, op3_mixing, op4_language_id, op5_token_counts, op7_personal_data, op8_packing, op9_licenses]}
+def op10_fingerprints(spark, d):
+    return order_minhash.fingerprints(documents(spark, d))
+
+
+QUERIES = {f.__name__: f for f in [op1_exact_dedup, op2_simhash, op3_mixing, op4_language_id, op5_token_counts, op7_personal_data, op8_packing, op9_licenses, op10_fingerprints]}

@@ -27,12 +27,12 @@ def ascii_lower(text: Column) -> Column:
     )
 
 
-def map_rows(df: DataFrame, schema: str, rows: Callable[[Iterator[tuple]], Iterator[tuple]], batch: int = 2000) -> DataFrame:
+def map_rows(df: DataFrame, schema: str | T.StructType, rows: Callable[[Iterator[tuple]], Iterator[tuple]], batch: int = 2000) -> DataFrame:
     """Stream the rows of each partition through ``rows``, by Arrow batches.
 
     Only one incoming batch and ``batch`` outgoing rows are held at a time.
     """
-    struct = T.StructType.fromDDL(schema)
+    struct = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     arrow = to_arrow_schema(struct)
 
     def incoming(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -59,5 +59,13 @@ def _record_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-def empty_table(schema: pa.Schema) -> pa.Table:
-    return schema.empty_table()
+def hash_sample(df: DataFrame, id_column: str, rows: int) -> DataFrame:
+    """Distinct ids of ``rows`` rows at most, those of least hash.
+
+    Few more than these leave their tasks: a share of the hashes that holds
+    twice as many is taken first.
+    """
+    n = df.count()
+    scaled = F.pmod(F.xxhash64(F.col(id_column).cast("string")), F.lit(1_000_000_007))
+    kept = df.where(scaled < int(1_000_000_007 * min(1.0, 2 * rows / max(1, n)) + 1))
+    return kept.select(id_column).orderBy(scaled, id_column).limit(rows).distinct()

@@ -72,3 +72,19 @@ def exact_dedup(
         (F.col("row") == F.col("keep_row")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
+
+
+def drop_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", keep: str = "largest") -> DataFrame:
+    """The rows of ``docs`` that stay, all columns as they were; rows that share id and text become one."""
+    decided = exact_dedup(docs, id_column, text_column, keep)
+    lost = cut_lineage(
+        decided.where("not kept").select(
+            F.col(id_column).alias("_id"), F.col("text_sha256").alias("_sha"), F.col("keep_id").eqNullSafe(F.col(id_column)).alias("_again")
+        )
+    )
+    marked = docs.withColumn("_sha", F.sha2(ascii_lower(F.col(text_column)).cast("binary"), 256))
+    same = marked[id_column].eqNullSafe(lost["_id"]) & (marked["_sha"] == lost["_sha"])
+    left = marked.join(lost.where("not _again"), same, "left_anti")
+    if not lost.where("_again").isEmpty():
+        left = left.dropDuplicates([id_column, "_sha"])
+    return left.drop("_sha")

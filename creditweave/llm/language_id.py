@@ -16,9 +16,9 @@ from collections import Counter, defaultdict
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from creditweave.llm.common import map_rows
+from creditweave.llm.common import hash_sample, map_rows
 
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
@@ -217,7 +217,7 @@ def training_examples(labelled: DataFrame, params: Params, id_column: str, text_
     The sample is the ``sample_rows`` rows of least hash; only their segments
     leave the executors, ``sample_segments`` at most.
     """
-    ids = labelled.select(id_column).orderBy(F.xxhash64(F.col(id_column).cast("string")), id_column).limit(params.sample_rows)
+    ids = hash_sample(labelled, id_column, params.sample_rows)
 
     def tally(rows):
         seen = Counter()
@@ -228,7 +228,7 @@ def training_examples(labelled: DataFrame, params: Params, id_column: str, text_
                 seen.clear()
         yield from ((s, lang, n) for (s, lang), n in seen.items())
 
-    chosen = labelled.join(F.broadcast(ids.distinct()), id_column, "left_semi").select(text_column, lang_column)
+    chosen = labelled.join(F.broadcast(ids), id_column, "left_semi").select(text_column, lang_column)
     counts = map_rows(chosen, "segment binary, lang string, n long", tally).groupBy("segment", "lang").agg(F.sum("n").alias("n"))
     top = counts.orderBy(F.desc("n"), "segment", "lang").limit(params.sample_segments)
     return [(bytes(r[0]), r[1], r[2]) for r in top.collect()]
@@ -240,7 +240,7 @@ def identify(
     id_column: str = "doc_id",
     text_column: str = "text",
     lang_column: str = "lang",
-    held_out=None,
+    held_out: Column | None = None,
 ) -> DataFrame:
     """``(id, held_out, lang_pred, score)`` of every row.
 
@@ -250,6 +250,26 @@ def identify(
     text if nothing could be learnt, is ``und`` with score zero. Repeated rows
     and null ids (never learnt from) are kept; other columns are not read.
     """
+    labels = labelled_rows(docs, params, id_column, text_column, lang_column, held_out)
+    return labels.select(F.col(f"row.{id_column}").alias(id_column), "held_out", "lang_pred", "score")
+
+
+def accepted(docs: DataFrame, least_score: float, params: Params = Params(), text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose language is known with at least ``least_score``, all columns as they were."""
+    labels = labelled_rows(docs, params, text_column=text_column, carry=docs.columns)
+    return labels.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select("row.*")
+
+
+def labelled_rows(
+    docs: DataFrame,
+    params: Params,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    lang_column: str = "lang",
+    held_out: Column | None = None,
+    carry: list[str] | None = None,
+) -> DataFrame:
+    """``(row, held_out, lang_pred, score)``; ``row`` has the columns to ``carry``, or the id."""
     if held_out is None:
         held_out = F.crc32(F.col(id_column).cast("string")) % 5 == 0
     labelled = docs.where(~held_out & F.col(lang_column).isNotNull() & F.col(text_column).isNotNull())
@@ -282,6 +302,8 @@ def identify(
                 held, size = [], 0
         yield from flush()
 
-    kind = docs.schema[id_column].dataType.simpleString()
-    chosen = docs.select(id_column, F.coalesce(held_out, F.lit(False)), text_column)
-    return map_rows(chosen, f"{id_column} {kind}, held_out boolean, lang_pred string, score double", rows)
+    row = F.struct(*[F.col(c) for c in carry or [id_column]])
+    chosen = docs.select(row.alias("row"), F.coalesce(held_out, F.lit(False)).alias("held_out"), text_column)
+    kind = T.StructType(chosen.schema["row"].dataType.fields)
+    schema = T.StructType().add("row", kind).add("held_out", "boolean").add("lang_pred", "string").add("score", "double")
+    return map_rows(chosen, schema, rows)

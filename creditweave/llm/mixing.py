@@ -78,6 +78,34 @@ def draw(key: Column, seed: str) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
+def cell_ratios(rows: DataFrame, temperature: dict[str, float], sweeps: int) -> DataFrame:
+    """``(source, lang, topic, ratio)`` of the cells of described rows that have tokens."""
+    filled = cut_lineage(rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0"))
+    goals = {m: cut_lineage(targets(filled, m, temperature[m])) for m in MARGINS}
+    raked = rake(filled, goals, sweeps)
+    return raked.select(*MARGINS, (F.col("weight") / F.col("tokens")).alias("ratio"))
+
+
+def sampled(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", seed: str = SEED) -> DataFrame:
+    """The rows of ``docs`` that ``mix`` keeps, all columns as they were.
+
+    Rows meet the table of cells, which is small beside them, and are not
+    shuffled unless it is too large to be sent to every executor.
+    """
+    cells = cut_lineage(described(docs, id_column, text_column))
+    ratio = cell_ratios(cells, TEMPERATURE, SWEEPS).toDF("_source", "_lang", "_topic", "_ratio")
+    text = F.coalesce(text_column, F.lit(""))
+    topic = surface_topic(text, word_count(text))
+    same = (
+        (F.coalesce("source", F.lit("unknown")) == F.col("_source"))
+        & (F.coalesce("lang", F.lit("und")) == F.col("_lang"))
+        & (F.col("_own") == F.col("_topic"))
+    )
+    met = docs.withColumn("_own", topic).join(ratio, same, "left")
+    chance = F.least(F.lit(1.0), F.coalesce("_ratio", F.lit(1.0)))
+    return met.where(draw(F.col(id_column), seed) < chance).select(docs.columns)
+
+
 def mix(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -95,13 +123,8 @@ def mix(
     empty; rows of a cell without tokens are kept with ratio one. Repeated
     rows are drawn alike. Other columns are not read.
     """
-    temperature = temperature or TEMPERATURE
     rows = cut_lineage(described(docs, id_column, text_column))
-    cells = cut_lineage(rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")))
-    filled = cells.where("tokens > 0")
-    goals = {m: cut_lineage(targets(filled, m, temperature[m])) for m in MARGINS}
-    raked = rake(filled, goals, sweeps)
-    ratio = raked.select(*MARGINS, (F.col("weight") / F.col("tokens")).alias("ratio"))
+    ratio = cell_ratios(rows, temperature or TEMPERATURE, sweeps)
     joined = rows.join(ratio, list(MARGINS), "left").withColumn("ratio", F.coalesce("ratio", F.lit(1.0)))
     chance = F.least(F.lit(1.0), "ratio")
     return joined.select(

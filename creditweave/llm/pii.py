@@ -23,7 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from creditweave.llm.common import map_rows
+from creditweave.llm.common import hash_sample, map_rows
 
 KINDS = ("email", "ip", "card", "phone")
 OTHER = len(KINDS)
@@ -287,9 +287,8 @@ def fit(zone_texts: list[str], seed: int = 11, generated: int = 500, rounds: int
 
 
 def training_zones(docs: DataFrame, id_column: str, text_column: str, sample_rows: int) -> list[str]:
-    """Zones of the ``sample_rows`` rows of least hash that hold a digit or an at-sign."""
-    marked = docs.where(F.col(text_column).rlike("[0-9@]"))
-    ids = marked.select(id_column).orderBy(F.xxhash64(F.col(id_column).cast("string")), id_column).limit(sample_rows)
+    """Up to four zones of each of the ``sample_rows`` rows of least hash."""
+    ids = hash_sample(docs, id_column, sample_rows)
 
     def cut(rows):
         for (text,) in rows:
@@ -297,7 +296,7 @@ def training_zones(docs: DataFrame, id_column: str, text_column: str, sample_row
                 if end - start <= 200:
                     yield ((text[start:end]),)
 
-    chosen = docs.join(F.broadcast(ids.distinct()), id_column, "left_semi").select(text_column)
+    chosen = docs.join(F.broadcast(ids), id_column, "left_semi").select(text_column)
     return sorted({r[0] for r in map_rows(chosen, "zone string", cut).collect()})
 
 
@@ -320,7 +319,7 @@ def all_spans(text: str, field: Field) -> tuple[list, list]:
 
 
 def find_personal_data(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", sample_rows: int = 400, field: Field | None = None
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", sample_rows: int = 4000, field: Field | None = None
 ) -> DataFrame:
     """``(id, n_email, n_ip, n_card, n_phone, base_sha256, spans)`` of every row.
 

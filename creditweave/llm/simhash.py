@@ -268,3 +268,13 @@ def simhash_components(
     return prints.join(named, "fp").select(
         F.col("id").alias(id_column), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def drop_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", bits: int = LINK_BITS) -> DataFrame:
+    """The rows of ``docs`` of the least id of each component, all columns as they were.
+
+    Rows without id stay only if no row with an id is linked to them.
+    """
+    found = simhash_components(docs, id_column, text_column, bits)
+    lost = found.where(~F.col(id_column).eqNullSafe(F.col("component_id"))).select(F.col(id_column).alias("_id"))
+    return docs.join(lost, docs[id_column].eqNullSafe(lost["_id"]), "left_anti")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from creditweave.llm import exact_dedup, language_id, licenses, mixing, order_minhash, packing, pii, simhash, token_counts
+from pyspark.sql import functions as F
+
+from creditweave.llm import bwt_dedup, exact_dedup, language_id, licenses, mixing, order_minhash, packing, pii, simhash, token_counts
 from creditweave.llm.common import documents
 
 
@@ -28,6 +30,11 @@ def op5_token_counts(spark, d):
     return token_counts.token_counts(documents(spark, d), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_suffix_dedup(spark, d):
+    removed = bwt_dedup.remove_repeats(documents(spark, d))
+    return removed.withColumn("n_spans", F.size("spans").cast("long")).drop("spans")
+
+
 def op7_personal_data(spark, d):
     return pii.find_personal_data(documents(spark, d))
 
@@ -44,4 +51,4 @@ def op10_fingerprints(spark, d):
     return order_minhash.fingerprints(documents(spark, d))
 
 
-QUERIES = {f.__name__: f for f in [op1_exact_dedup, op2_simhash, op3_mixing, op4_language_id, op5_token_counts, op7_personal_data, op8_packing, op9_licenses, op10_fingerprints]}
+QUERIES = {f.__name__: f for f in [op1_exact_dedup, op2_simhash, op3_mixing, op4_language_id, op5_token_counts, op6_suffix_dedup, op7_personal_data, op8_packing, op9_licenses, op10_fingerprints]}

@@ -1,0 +1,83 @@
+"""Repeated strings against a dictionary of all strings."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from creditweave.llm import bwt_dedup as bw
+
+
+def plain(rows):
+    least = {}
+    for k, t in rows:
+        b = (t or "").encode()
+        for i in range(len(b) - 49):
+            s = b[i : i + 50]
+            least[s] = min(least.get(s, k), k)
+    out = {}
+    for k, t in rows:
+        b = (t or "").encode()
+        gone = [False] * len(b)
+        for i in range(len(b) - 49):
+            if least[b[i : i + 50]] < k:
+                gone[i : i + 50] = [True] * 50
+        spans = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
+        kept = bytes(c for c, g in zip(b, gone) if not g)
+        out[k] = (len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest())
+    return out
+
+
+def rows_of_every_kind():
+    rng = random.Random(4)
+    words = [f"{rng.choice('abcdé')}{rng.randrange(99)}" for _ in range(60)]
+    passages = [" ".join(rng.choices(words, k=40)) for _ in range(12)]
+    rows = [(0, None), (1, ""), (2, "a" * 49), (3, "a" * 50), (4, "a" * 120), (5, "ab" * 3000), (6, "ba" * 200), (7, "\x00" * 60), (8, "\x00" * 61)]
+    for k in range(10, 160):
+        parts = [" ".join(rng.choices(words, k=rng.randrange(30)))]
+        for _ in range(rng.randrange(4)):
+            p = rng.choice(passages)
+            a = rng.randrange(len(p))
+            parts += [p[a:], " ".join(rng.choices(words, k=rng.randrange(12)))]
+        rows.append((k * 7 % 1009 + 10, "".join(parts)))
+    return rows + [(5000 + k, rows[40][1]) for k in range(20)]
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_every_byte(spark, monkeypatch, small):
+    if small:  # many parts, ranges, buckets and buffers, and every marker crowded
+        for name, value in [("PART_BYTES", 3000), ("BUFFER", 700), ("RANGE_MARKERS", 60), ("BUCKET_BYTES", 900), ("CROWDED", 5), ("PIECE", 7)]:
+            monkeypatch.setattr(bw, name, value)
+    rows = rows_of_every_kind()
+    df = spark.createDataFrame([(*r, "s", 1) for r in rows], "doc_id long, text string, part string, size int").repartition(5)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, len(r.spans), r.kept_sha256) for r in bw.remove_repeats(df).collect()}
+    assert got == plain(rows)
+
+
+def test_transform_and_its_inverse():
+    rng = random.Random(2)
+    shards = []
+    for _ in range(4):
+        pieces = sorted({bytes(rng.choices(b"ab\x00", k=rng.randrange(1, 90))) for _ in range(30)})
+        plain_rows = sorted((p[k:], j, k) for j, p in enumerate(pieces) for k in range(len(p) + 1))
+        want = [pieces[j][k - 1] + 1 if k else 0 for _, j, k in plain_rows]
+        got = bw.transform(pieces)
+        assert got.tolist() == want
+        shards.append((pieces, got))
+    every = bw.Shards([(t, np.array([len(p) for p in ps])) for ps, t in shards])
+    back = bytes([(s - 1) % 256 for s in every.symbols.tolist()])
+    assert back == b"".join(p + b"\xff" for ps, _ in shards for p in ps)
+
+
+def test_packed_columns():
+    arrays = [np.array([1, 5, 2**40], np.uint64), np.empty(0, np.uint8), np.array([-1, 7], np.int64), np.array([3], np.uint16)]
+    assert all(np.array_equal(a, b) and a.dtype == b.dtype for a, b in zip(arrays, bw._unpack(bw._pack(*arrays))))
+
+
+def test_rows_that_share_an_id_null_ids_and_empty_table(spark):
+    text = "x y z " * 20
+    df = spark.createDataFrame([(3, text), (3, text), (None, "q" * 70), (4, "q" * 70)], "doc_id long, text string")
+    got = sorted((r.doc_id or 0, r.n_removed) for r in bw.remove_repeats(df).collect())
+    assert got == [(0, 0), (3, 0), (3, 0), (4, 70)]
+    assert bw.remove_repeats(df.limit(0)).collect() == []

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, functions as F
 
 
@@ -13,11 +11,6 @@ def driver_list(labels: list[Column]) -> Column:
     return F.concat_ws("; ", *items)
 
 
-def literal_phrase(phrase: str) -> str:
-    """Regex for ``phrase`` as whole words, with its characters taken as such."""
-    return r"\b" + re.sub(r"([^\w\s])", r"\\\1", phrase) + r"\b"
-
-
 def cites(text: Column, phrase: Column) -> Column:
     """Whether ``text`` holds ``phrase`` as whole words (phrase from a column)."""
     pattern = F.concat(F.lit(r"\b\Q"), phrase, F.lit(r"\E\b"))

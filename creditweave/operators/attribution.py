@@ -17,7 +17,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import combinations
 from math import factorial
 
 import numpy as np
@@ -27,7 +26,6 @@ from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from creditweave.functions.numbers import round_to
 from creditweave.operators.boosting import SLOT_FEATURE, encode
 from creditweave.session import scratch_path
 from creditweave.settings import FEATURES, ID
@@ -57,21 +55,21 @@ class Leaf:
 
 
 def shapley_table(value: float, covers: list[float]) -> np.ndarray:
-    """Contributions of a leaf for every pattern of met conditions."""
+    """Contributions of a leaf for every pattern of met conditions, all patterns at once."""
     size = len(covers)
-    table = np.zeros((2**size, size))
-    for pattern in range(2**size):
-        met = [(pattern >> i) & 1 for i in range(size)]
-        for i in range(size):
-            others = [j for j in range(size) if j != i]
-            total = 0.0
-            for count in range(size):
-                weight = factorial(count) * factorial(size - count - 1) / factorial(size)
-                for chosen in combinations(others, count):
-                    inside = np.prod([met[j] for j in chosen])
-                    outside = np.prod([covers[j] for j in others if j not in chosen])
-                    total += weight * inside * outside
-            table[pattern, i] = value * (met[i] - covers[i]) * total
+    met = (np.arange(2**size)[:, None] >> np.arange(size)) & 1
+    cover = np.array(covers)
+    table = np.empty((2**size, size))
+    for i in range(size):
+        # Coefficients by how many of the other features are in the set.
+        sums = np.zeros((2**size, size))
+        sums[:, 0] = 1.0
+        for j in range(size):
+            if j != i:
+                taken = np.concatenate((np.zeros((2**size, 1)), sums[:, :-1]), axis=1)
+                sums = sums * cover[j] + taken * met[:, [j]]
+        weight = np.array([factorial(n) * factorial(size - n - 1) / factorial(size) for n in range(size)])
+        table[:, i] = value * (met[:, i] - cover[i]) * (sums @ weight)
     return table
 
 
@@ -156,7 +154,7 @@ def boosted_contributions(mart: DataFrame, encoder: PipelineModel, model: GBTCla
     slot_feature = [FEATURES.index(f) for f in SLOT_FEATURE]
     scored = model.transform(encode(mart, encoder)).select(
         ID,
-        round_to(vector_to_array("probability")[1], 6).alias("predicted_pd"),
+        vector_to_array("probability")[1].alias("predicted_pd"),
         vector_to_array("features").alias("x"),
     )
     shipped = spark.sparkContext.broadcast(leaves)

@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from creditweave.sources.schemas import CONTRACTS
+
 # The verbs a read-only statement may not hold, in the order they
-# are reported, and the tables it may read.
+# are reported.
 FORBIDDEN_VERBS = [
     "insert",
     "update",
@@ -27,7 +29,6 @@ FORBIDDEN_VERBS = [
     "copy",
     "into",
 ]
-ALLOWED_TABLES = ["fct_applications", "fct_scored_applications", "fct_adverse_actions"]
 
 # The patterns of the gates.
 FENCE = r"(?is)^```(?:sql)?\s*(.*?)\s*```$"
@@ -49,17 +50,18 @@ def clean_draft(text: Column) -> Column:
     return _trim(F.regexp_replace(_trim(fenced), ";+$", ""))
 
 
-def audit_drafts(drafts: DataFrame, strict: bool = True) -> DataFrame:
+def audit_drafts(drafts: DataFrame, strict: bool = True, allowed_tables: list[str] | None = None) -> DataFrame:
     """``(question_id, verdict, gate, detail, cleaned_sql)`` per draft.
 
     ``gate`` is the first one that refuses. ``strict`` adds the last gate,
-    against quoted table names and comma joins.
+    against quoted table names and comma joins. A draft may read
+    ``allowed_tables``, by default the gold tables.
     """
     sql, lowered = F.col("cleaned_sql"), F.col("lowered")
     # One pattern finds out whether any verb is there; only then is it asked which.
     any_verb = lowered.rlike(rf"\b(?:{'|'.join(FORBIDDEN_VERBS)})\b")
     which = F.coalesce(*[F.when(lowered.rlike(rf"\b{verb}\b"), F.lit(verb)) for verb in FORBIDDEN_VERBS])
-    allowed = F.array(*[F.lit(t) for t in ALLOWED_TABLES])
+    allowed = F.array(*[F.lit(t) for t in (list(CONTRACTS) if allowed_tables is None else allowed_tables)]).cast("array<string>")
     # Drafts are lower-cased before tables are looked up, like the verbs.
     tables = F.array_sort(F.array_distinct(F.regexp_extract_all(lowered, F.lit(TABLE_AFTER_FROM), 1)))
     foreign = F.filter(tables, lambda t: ~F.array_contains(allowed, F.substring_index(t, ".", -1)))

@@ -10,7 +10,6 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from creditweave.functions.numbers import round_to
 from creditweave.operators.split import select_share
 from creditweave.session import checkpoint_dir, cut_lineage
 from creditweave.settings import CATEGORICAL, ID, NUMERIC_FEATURES, TARGET
@@ -38,7 +37,11 @@ class BoostingParams:
     column_share: float = 0.8
     patience: int = 50
     seed: int = 42
-    max_categories: int = 64
+    # The rows of the fit lie in so many partitions, dealt by id: rows and trees
+    # are drawn by partition, and must not depend on the cluster's size.
+    partitions: int = 4
+    # Labelled rows the fit uses at most, those of least hash. Scores are given to all rows.
+    fit_rows: int = 50_000
 
 
 def numeric_frame(mart: DataFrame) -> DataFrame:
@@ -84,36 +87,45 @@ def fit_boosted(train: DataFrame, params: BoostingParams = BoostingParams()) ->
     for every number of trees in one pass.
     """
     checkpoint_dir(train.sparkSession)
+    train = cut_lineage(train)
+    rows = train.count()
+    if rows > params.fit_rows:
+        train = cut_lineage(select_share(train, params.fit_rows / rows, f"fit-{params.seed}", "_fit").where("_fit").drop("_fit"))
     marked = cut_lineage(select_share(train, 0.1, f"early-stop-{params.seed}", "watched"))
     encoder = fit_encoder(marked)
     # Boosting passes over the rows once per tree level: keep the vectors only.
-    rows = encode(marked, encoder).select("features", F.col(TARGET).cast("double").alias("label"), "watched")
-    fitted, watched = rows.where("not watched").drop("watched"), rows.where("watched")
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    if fitted.rdd.getNumPartitions() < cores:
-        fitted = fitted.repartition(cores)
-    fitted = fitted.persist()
+    rows = encode(marked, encoder).select(ID, "features", F.col(TARGET).cast("double").alias("label"), "watched")
+    watched = rows.where("watched")
+    fitted = rows.where("not watched").drop("watched").repartition(params.partitions, ID).sortWithinPartitions(ID).persist()
+    # Every category, and the slot of unseen ones, needs a bin.
+    categories = len(encoder.stages[0].labels) + 1
     booster = GBTClassifier(
-        maxIter=params.max_trees,
         stepSize=params.learning_rate,
         maxDepth=params.depth,
         subsamplingRate=params.row_share,
         featureSubsetStrategy=str(params.column_share),
-        maxBins=max(32, params.max_categories),
-        checkpointInterval=10,
+        maxBins=max(32, categories),
+        checkpointInterval=20,
         seed=params.seed,
     )
-    model = booster.fit(fitted)
-    keep = best_iteration(list(model.evaluateEachIteration(watched)), params.patience)
-    if keep < params.max_trees:
-        # Trees are drawn from one seed in order: this is the same model, cut off.
-        model = booster.fit(fitted, {booster.maxIter: keep})
-    fitted.unpersist()
+    # Trees are drawn from one seed in order: a model of more trees begins with
+    # those of a smaller one. So the count grows until patience is over.
+    trees = min(params.max_trees, 2 * params.patience)
+    try:
+        while True:
+            model = booster.fit(fitted, {booster.maxIter: trees})
+            keep = best_iteration(list(model.evaluateEachIteration(watched)), params.patience)
+            if trees == params.max_trees or keep + params.patience <= trees:
+                break
+            trees = min(params.max_trees, 2 * trees)
+        if keep < trees:
+            model = booster.fit(fitted, {booster.maxIter: keep})
+    finally:
+        fitted.unpersist()
     return encoder, model
 
 
 def boosted_scores(mart: DataFrame, encoder: PipelineModel, model: GBTClassificationModel) -> DataFrame:
     """Score every row of the mart, training rows included."""
     scored = model.transform(encode(mart, encoder))
-    pd_ = vector_to_array("probability")[1]
-    return scored.select(ID, round_to(pd_, 6).alias("predicted_pd"))
+    return scored.select(ID, vector_to_array("probability")[1].alias("predicted_pd"))

@@ -5,20 +5,16 @@ from __future__ import annotations
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame, functions as F
 
-from creditweave.functions.numbers import round_to
 from creditweave.settings import TARGET
 
-SCORE_DIGITS = 6
-
 
 def fit_calibrator(fold: DataFrame, score: str = "predicted_pd", target: str = TARGET) -> IsotonicRegressionModel:
     """Monotone map from raw to calibrated probability.
 
-    Rows are first averaged per score, which leaves the fit unchanged. Scores
-    are published at six decimals, so at most 1,000,001 weighted points reach
-    Spark's solver however many rows there are.
+    Rows are first averaged per score, which leaves the fit unchanged. Spark's
+    solver pools ranges on the executors before it ends on the driver.
     """
-    points = fold.groupBy(round_to(F.col(score), SCORE_DIGITS).alias("score")).agg(
+    points = fold.groupBy(F.col(score).alias("score")).agg(
         F.avg(target).alias("rate"), F.count(F.lit(1)).cast("double").alias("weight")
     )
     return IsotonicRegression(featuresCol="score", labelCol="rate", weightCol="weight").fit(points)

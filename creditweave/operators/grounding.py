@@ -1,18 +1,16 @@
 """Do reasons cite only the applicant's own drivers?
 
-The textbook form pairs every reason with every label. Here a small
-dictionary is unrolled into one compiled pattern per label, tested while the
-reason streams by; a large one is matched through an equi-join on one word of
-each phrase. Neither builds the product of reasons and labels.
+The textbook form pairs every reason with every label. Here words of the
+reasons meet each label's longest word in an equi-join; the few pairs that
+share one fetch the reason's text and are matched as whole phrases.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from creditweave.functions.text import cites, literal_phrase
+from creditweave.functions.text import cites
 from creditweave.settings import ID
-from creditweave.sources.tables import SMALL_TABLE_ROWS
 
 NO_LABEL = "(driver without label)"
 
@@ -29,33 +27,31 @@ def _own() -> list[Column]:
     return [F.col(f"l{i}") for i in (1, 2, 3)]
 
 
-def cited_labels(reasons: DataFrame, labels: DataFrame, small: int = SMALL_TABLE_ROWS) -> DataFrame:
-    """Add ``cited``: every dictionary phrase the reason holds as whole words."""
-    phrases = labels.select(F.lower("feature_label").alias("fl")).where(F.col("fl").isNotNull())
-    head = [r["fl"] for r in phrases.take(small + 1)]
-    if len(head) <= small:
-        hits = [F.when(F.col("reason").rlike(literal_phrase(p)), F.lit(p)) for p in sorted(head)]
-        cited = F.array_compact(F.array(*hits)) if hits else F.array().cast("array<string>")
-        return reasons.withColumn("cited", cited)
+def cited_labels(reasons: DataFrame, labels: DataFrame) -> DataFrame:
+    """Add ``cited``: every dictionary phrase the reason holds as whole words.
+
+    A label without a word in it could not be found and is an error.
+    """
+    words = F.regexp_extract_all("fl", F.lit(r"\w+"), 0)
+    longest = F.array_max(F.transform(words, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
     # Each word of a phrase is a whole word wherever the phrase is matched, so
     # joining on the longest one (the least common, most likely) loses nothing.
-    words = F.regexp_extract_all("fl", F.lit(r"\w+"), 0)
-    anchored = phrases.where(F.size(words) > 0).select(
-        "fl",
-        F.array_max(F.transform(words, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"].alias("word"),
-    )
-    tokens = reasons.select(
-        ID, "reason", F.explode(F.array_distinct(F.regexp_extract_all("reason", F.lit(r"\w+"), 0))).alias("word")
-    )
+    anchored = (
+        labels.select(F.lower("feature_label").alias("fl"))
+        .where(F.col("fl").isNotNull())
+        .distinct()
+        .select("fl", F.when(F.size(words) > 0, longest).otherwise(
+            F.raise_error(F.concat(F.lit("label without a word: "), "fl"))).alias("word"))
+    )
+    tokens = reasons.select(ID, F.explode(F.array_distinct(F.regexp_extract_all("reason", F.lit(r"\w+"), 0))).alias("word"))
+    pairs = tokens.join(anchored, "word").select(ID, "fl")
     found = (
-        tokens.join(anchored, "word")
+        pairs.join(reasons.select(ID, "reason"), ID)
         .where(cites(F.col("reason"), F.col("fl")))
         .groupBy(ID)
         .agg(F.sort_array(F.collect_list("fl")).alias("cited"))
     )
-    return reasons.join(found, ID, "left").withColumn(
-        "cited", F.coalesce("cited", F.array().cast("array<string>"))
-    )
+    return reasons.join(found, ID, "left").withColumn("cited", F.coalesce("cited", F.array().cast("array<string>")))
 
 
 def _foreign(cited: Column) -> Column:

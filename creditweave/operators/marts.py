@@ -8,7 +8,6 @@ from creditweave.functions.numbers import exact_sum, safe_divide
 from creditweave.functions.text import driver_list
 from creditweave.operators.ordering import numbered
 from creditweave.settings import ID, Policy
-from creditweave.sources.tables import broadcast_if_small
 
 # Rollup columns; zero for applicants without history.
 HISTORY = [
@@ -61,19 +60,17 @@ def scored_applicants(applications: DataFrame, predictions: DataFrame) -> DataFr
 def declined_drivers(scored: DataFrame, labels: DataFrame, policy: Policy = Policy()) -> DataFrame:
     """Declined applicants, ranked by risk, with labelled drivers.
 
-    With a sample size the rank needs only the riskiest rows, which Spark keeps
-    as a bounded heap per task. Without one every declined row is numbered by
-    range partition, never in one task.
+    Declined rows are numbered by ranges of risk, never in one task; a sample
+    size then keeps the first numbers.
     """
     drivers = [f"top{i}_{part}" for i in (1, 2, 3) for part in ("feature", "shap")]
     declined = scored.where(F.col("predicted_pd") >= policy.decline_threshold).select(
         ID, "predicted_pd", *drivers
     )
-    by_risk = [F.col("predicted_pd").desc(), F.col(ID).asc()]
-    ranked = numbered(declined, by_risk, "decline_rank", limit=policy.decline_sample_size)
-    lookup = broadcast_if_small(labels)
+    falling = declined.withColumn("_safety", -F.col("predicted_pd"))
+    ranked = numbered(falling, ["_safety", ID], "decline_rank", limit=policy.decline_sample_size).drop("_safety")
     for i in (1, 2, 3):
-        names = lookup.select(
+        names = labels.select(
             F.col("feature_name").alias(f"top{i}_feature"), F.col("feature_label").alias(f"top{i}_label")
         )
         ranked = ranked.join(names, f"top{i}_feature", "left")

@@ -30,7 +30,7 @@ def score_counts(df: DataFrame, score: str, target: str, by: list[str] | None =
             F.count_if(F.col(target) != 1).alias("misses"),
         )
     )
-    return running_totals(counted, [F.col("score")], {"hits_upto": "hits", "misses_upto": "misses"}, by)
+    return running_totals(counted, ["score"], {"hits_upto": "hits", "misses_upto": "misses"}, by)
 
 
 def _auc_terms() -> list[Column]:

@@ -1,8 +1,9 @@
 """Global order without a global task.
 
-A window without partition keys sends every row to one task. Here rows are
-range-partitioned, each range is numbered on its own, and only one total per
-range takes part in a global running sum.
+A window without partition keys sends every row to one task. Here split points
+taken from a sample cut the order into ranges; rows are numbered per range,
+after one shuffle by the range's number, and only one total per range takes
+part in a global running sum.
 """
 
 from __future__ import annotations
@@ -12,35 +13,61 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from creditweave.session import cut_lineage
 
 RANGE = "_range"
+# Rows meant for a range, unless that gives more ranges than are planned for.
+RANGE_ROWS = 50_000
+MOST_RANGES = 1000
+# Sampled rows for each range.
+SAMPLED = 50
 
 
-def running_totals(
-    df: DataFrame, order: list[Column], totals: dict[str, str], by: list[str] | None = None
-) -> DataFrame:
-    """Exact running sums along ``order``, restarting for each ``by`` group.
+def _nulls_first(row: tuple) -> list[tuple]:
+    """Sort key with Spark's order: null below all values, NaN above all numbers."""
+    return [(v is not None, v != v, 0 if v is None or v != v else v) for v in row]
+
+
+def range_number(pinned: DataFrame, keys: list[str]) -> Column:
+    """The range of a row by ascending ``keys``: how many split points are at most its own.
+
+    Split points are literals, so every reader of the rows gets the same
+    ranges. The sample that leaves the executors has ``SAMPLED`` rows a range.
+    """
+    rows = pinned.count()
+    ranges = min(MOST_RANGES, -(-rows // RANGE_ROWS))
+    if ranges <= 1:
+        return F.lit(0)
+    share = min(1.0, SAMPLED * ranges / rows)
+    held = sorted(pinned.select(*keys).sample(share, seed=7).collect(), key=_nulls_first)
+    splits = held[SAMPLED // 2 :: SAMPLED][:MOST_RANGES]
+    if not splits:
+        return F.lit(0)
+    types = [pinned.schema[k].dataType for k in keys]
+    point = lambda row: F.struct(*[F.lit(v).cast(t).alias(k) for v, t, k in zip(row, types, keys)])
+    table, own = F.array(*[point(r) for r in splits]), F.struct(*[F.col(k) for k in keys])
+    halves = F.array(*[F.lit(1 << b) for b in range(len(splits).bit_length() - 1, -1, -1)])
+    reached = lambda n: (n <= len(splits)) & (F.get(table, n - 1) <= own)
+    return F.aggregate(halves, F.lit(0), lambda n, half: F.when(reached(n + half), n + half).otherwise(n))
+
+
+def running_totals(df: DataFrame, order: list[str], totals: dict[str, str], by: list[str] | None = None) -> DataFrame:
+    """Exact running sums along ascending ``order``, restarting for each ``by`` group.
 
     ``totals`` maps output names to summed columns; sums include the current
     row. ``order`` has to be unique within ``by``, else ties are cut at will.
     """
     by = by or []
-    ranged = df.repartitionByRange(*by, *order).withColumn(RANGE, F.spark_partition_id())
-    inside = Window.partitionBy(*by, RANGE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    # The range of a row depends on sampled bounds: pin it before it is used on
-    # both sides of the join below. Readers then only add an offset.
-    local = cut_lineage(ranged.select("*", *[F.sum(c).over(inside).alias(name) for name, c in totals.items()]))
-    # One row per range and group, so at most partitions + groups rows.
-    per_range = local.groupBy(*by, RANGE).agg(
-        *[F.sum(c).alias(f"_sum_{name}") for name, c in totals.items()]
-    )
+    # Sampled, summed and numbered below: computed once.
+    pinned = cut_lineage(df)
+    ranged = pinned.withColumn(RANGE, range_number(pinned, [*by, *order]))
+    # One row per range and group, so at most ranges + groups rows.
+    per_range = ranged.groupBy(*by, RANGE).agg(*[F.sum(c).alias(f"_sum_{name}") for name, c in totals.items()])
     earlier = Window.partitionBy(*by).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_range.select(
-        *by,
-        RANGE,
-        *[F.coalesce(F.sum(f"_sum_{n}").over(earlier), F.lit(0)).alias(f"_off_{n}") for n in totals],
+        *by, RANGE, *[F.coalesce(F.sum(f"_sum_{n}").over(earlier), F.lit(0)).alias(f"_off_{n}") for n in totals]
     )
+    inside = Window.partitionBy(*by, RANGE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.select("*", *[F.sum(c).over(inside).alias(name) for name, c in totals.items()])
     joined = _join_groups(local, offsets, [*by, RANGE])
-    keep = [c for c in df.columns]
-    return joined.select(*keep, *[(F.col(n) + F.col(f"_off_{n}")).alias(n) for n in totals])
+    return joined.select(*df.columns, *[(F.col(n) + F.col(f"_off_{n}")).alias(n) for n in totals])
 
 
 def _join_groups(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -51,10 +78,8 @@ def _join_groups(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFram
     return left.join(right, on).drop(*names.values())
 
 
-def numbered(df: DataFrame, order: list[Column], name: str, limit: int | None = None) -> DataFrame:
-    """Row numbers along a unique ``order``; with ``limit``, the first rows only."""
-    if limit is not None:
-        first = df.orderBy(*order).limit(limit)
-        return first.select("*", F.row_number().over(Window.orderBy(*order)).cast("bigint").alias(name))
+def numbered(df: DataFrame, order: list[str], name: str, limit: int | None = None) -> DataFrame:
+    """Row numbers along a unique ascending ``order``; with ``limit``, the rows numbered up to it."""
     ones = df.withColumn("_one", F.lit(1).cast("bigint"))
-    return running_totals(ones, order, {name: "_one"}).drop("_one")
+    ranked = running_totals(ones, order, {name: "_one"}).drop("_one")
+    return ranked if limit is None else ranked.where(F.col(name) <= limit)

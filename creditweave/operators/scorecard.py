@@ -79,9 +79,8 @@ def linear_scores(
     return terms.select(
         ID,
         *kept,
-        round_to(1.0 / (1.0 + F.exp(-margin)), DIGITS).alias("predicted_pd"),
-        # Adding zero turns a rounded -0.0 into 0.0.
-        F.array(*[round_to(F.col(f"_t_{f}"), DIGITS) + 0.0 for f in FEATURES]).alias("contributions"),
+        (1.0 / (1.0 + F.exp(-margin))).alias("predicted_pd"),
+        F.array(*[F.col(f"_t_{f}") for f in FEATURES]).alias("contributions"),
     )
 
 
@@ -89,23 +88,21 @@ def top_drivers(scores: DataFrame, features: list[str] = FEATURES) -> DataFrame:
     """The prediction row: three largest contributions, with their features.
 
     Largest first, whatever the sign; equal contributions follow feature order.
-    Contributions are published at six decimals, so each one and its position
-    fit a single long, and the row's sort is one over primitives.
     """
-    size, unit = len(features), float(10**DIGITS)
     # A lambda over the array, not a column per feature: unrolled, the generated
     # method outgrows what the JVM compiles, and the whole stage is interpreted.
-    packed = F.transform(
-        "contributions", lambda c, i: F.rint(c * unit).cast("bigint") * size + (size - 1 - i)
-    )
-    ranked = scores.select(ID, "predicted_pd", F.sort_array(packed, asc=False).alias("ranked"))
+    placed = F.transform("contributions", lambda c, i: F.struct(c.alias("c"), (-i).alias("place")))
+    ranked = scores.select(ID, "predicted_pd", F.sort_array(placed, asc=False).alias("ranked"))
     names = F.array(*[F.lit(f) for f in features])
     columns = []
     for i in (1, 2, 3):
         entry = F.col("ranked")[i - 1]
-        spare = F.pmod(entry, F.lit(size))
-        columns += [
-            names[(F.lit(size - 1) - spare).cast("int")].alias(f"top{i}_feature"),
-            ((entry - spare) / size / unit).alias(f"top{i}_shap"),
-        ]
+        columns += [names[-entry["place"]].alias(f"top{i}_feature"), entry["c"].alias(f"top{i}_shap")]
     return ranked.select(ID, "predicted_pd", *columns)
+
+
+def published(df: DataFrame) -> DataFrame:
+    """Scores and contributions at six decimals, for readers; decisions are made before."""
+    shown = [c for c, kind in df.dtypes if kind == "double" and (c == "predicted_pd" or c.endswith("_shap") or c.startswith("term_"))]
+    # Adding zero turns a rounded -0.0 into 0.0.
+    return df.withColumns({c: round_to(F.col(c), DIGITS) + 0.0 for c in shown})

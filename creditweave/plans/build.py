@@ -8,9 +8,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from creditweave.operators import checks, grounding, marts, reasons, staging
-from creditweave.session import cut_lineage
+from creditweave.session import cut_lineage, scratch_path
 from creditweave.settings import ID, TARGET, Policy
-from creditweave.sources.tables import label_dictionary, scan
+from creditweave.sources.schemas import PD_PREDICTIONS, struct
+from creditweave.sources.tables import label_dictionary, scan, write_and_count
 from creditweave.sources.versioned import VersionedTable
 
 
@@ -62,7 +63,8 @@ def build_features(spark: SparkSession, bronze: dict[str, DataFrame], root: str)
     check_staged(applications, credits, payments)
 
     tables = gold_tables(spark, root)
-    rollup = marts.credit_rollup(credits)
+    # Checked, then joined: computed once.
+    rollup = cut_lineage(marts.credit_rollup(credits))
     too_many = checks.outside("prior_credit_count", 1, 1000)
     checks.require_rows("rollup", rollup, {**present(ID), "prior_credit_count range": too_many})
     tables["applications"].refresh(marts.applicant_features(applications, rollup))
@@ -97,7 +99,12 @@ def build_decisions(
         gate(f"labels unique {column}", checks.unique(labels, column))
 
     mart = tables["applications"].read()
-    staged = staging.stage_predictions(predictions)
+    # The prediction table: written once, verified by its count, and read by all that follows.
+    path, schema = scratch_path(spark, "predictions"), struct(PD_PREDICTIONS)
+    written = write_and_count(predictions.select(*schema.names), path)
+    staged = staging.stage_predictions(spark.read.schema(schema).parquet(path))
+    if written != staged.count():
+        raise checks.CheckFailed("predictions written", written)
     checks.require_rows(
         "predictions",
         staged,
@@ -110,7 +117,7 @@ def build_decisions(
     gate("predictions without application", checks.orphans(staged, ID, mart, ID))
     tables["scored"].refresh(marts.scored_applicants(mart, staged))
 
-    drivers = marts.declined_drivers(tables["scored"].read(), labels, policy)
+    drivers = cut_lineage(marts.declined_drivers(tables["scored"].read(), labels, policy))
     named = [f"top{i}_label" for i in (1, 2, 3)]
     checks.require_rows("drivers", drivers, present(ID, "predicted_pd", *named, "driver_list"))
     # Pinned, so that the gates read the very texts that get published.

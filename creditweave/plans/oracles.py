@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from creditweave.operators.audit import ALLOWED_TABLES, FORBIDDEN_VERBS
+from creditweave.operators.audit import FORBIDDEN_VERBS
 from creditweave.operators.marts import HISTORY
 from creditweave.operators.scorecard import DEFAULT_SCORECARD
-from creditweave.plans.registry import DRAFTS, LOADED_UNTIL
+from creditweave.plans.registry import DRAFTS, LOADED_UNTIL, TOP_DECLINES
 from creditweave.settings import CATEGORICAL, FEATURES
+from creditweave.sources import schemas
 from creditweave.sources.tables import LABELS
 
 
@@ -139,11 +140,22 @@ _MARGIN = " + ".join([double(DEFAULT_SCORECARD.intercept), *[f"t_{f}" for f in F
 SCORES = f"""
     select
         * exclude ({", ".join(f"t_{f}" for f in FEATURES)}),
-        {rounded(f"1 / (1 + exp(-({_MARGIN})))")} as predicted_pd,
-        {", ".join(f"{rounded('t_' + f)} + cast(0 as double) as term_{f}" for f in FEATURES)}
+        1 / (1 + exp(-({_MARGIN}))) as predicted_pd,
+        {", ".join(f"t_{f} as term_{f}" for f in FEATURES)}
     from terms
 """
-LINEAR_SCORES = f"select application_id, predicted_pd, {', '.join(f'term_{f}' for f in FEATURES)} from scores"
+
+
+def shown(source: str, columns: list[str]) -> str:
+    """``source`` with six decimals in ``columns``: figures are rounded for readers only."""
+    parts = ", ".join(f"{rounded(c)} + cast(0 as double) as {c}" for c in columns)
+    return f"select * replace ({parts}) from ({source})"
+
+
+PD = ["predicted_pd"]
+DRIVERS = [*PD, "top1_shap", "top2_shap", "top3_shap"]
+_TERM_NAMES = [f"term_{f}" for f in FEATURES]
+LINEAR_SCORES = shown(f"select application_id, predicted_pd, {', '.join(_TERM_NAMES)} from scores", [*PD, *_TERM_NAMES])
 
 _POSITIONS = ", ".join(f"({i}, {text(f)})" for i, f in enumerate(FEATURES))
 _PICKED = " ".join(f"when {i} then term_{f}" for i, f in enumerate(FEATURES))
@@ -189,7 +201,7 @@ REASONS = """
         * exclude (top1_shap, top2_shap, top3_shap),
         'We could not approve your loan. What weighed most was ' || top1_label || ', followed by '
         || top2_label || ' and ' || top3_label || '.' as adverse_action_reason
-    from declined_drivers
+    from declined
 """
 PROMPTS = """
     select
@@ -197,7 +209,7 @@ PROMPTS = """
         'Write two or three polite sentences that tell a loan applicant why the application was turned down. '
         || 'Use these factors only, word for word, and no other factor, figure or score: ' || driver_list
         || '. Make no promise about later decisions and add nothing of your own.' as prompt
-    from declined_drivers
+    from declined
 """
 # Every phrase a reason holds, and whether it is one of the applicant's own.
 CITATIONS = r"""
@@ -401,8 +413,8 @@ ISOTONIC = f"""
     )
     select
         application_id, predicted_pd, is_default, contract_type,
-        {rounded("case when x0 is null then y1 when x1 is null or x0 = x1 then y0"
-                 " else y0 + (y1 - y0) * (predicted_pd - x0) / (x1 - x0) end", 9)} as calibrated_pd
+        case when x0 is null then y1 when x1 is null or x0 = x1 then y0
+            else y0 + (y1 - y0) * (predicted_pd - x0) / (x1 - x0) end as calibrated_pd
     from placed
 """
 _SQUARED = "avg(({0} - is_default) * ({0} - is_default))"
@@ -441,17 +453,18 @@ CONTRACT = """
 
 
 def _draft(draft: str) -> str:
-    parts = " || o_orderkey || ".join(text(p) for p in draft.split("{id}"))
+    parts = " || replace(text, chr(39), chr(39) || chr(39)) || ".join(text(p) for p in draft.split("{text}"))
     return parts.replace("\n", "' || chr(10) || '")
 
 
+TURNS = "select conv_id || '-' || turn as question_id, conv_id * 7 + turn as k, text from conversations"
 _DRAFTS = " ".join(f"when {i} then {_draft(d)}" for i, d in enumerate(DRAFTS))
 _VERB = "case " + " ".join(rf"when regexp_matches(l, '\b{v}\b') then '{v}'" for v in FORBIDDEN_VERBS) + " end"
-_ALLOWED = ", ".join(text(t) for t in ALLOWED_TABLES)
+_ALLOWED = ", ".join(text(t) for t in schemas.CONTRACTS)
 AUDIT = rf"""
     with drafts as (
-        select o_orderkey as question_id, trim(case o_orderkey % {len(DRAFTS)} {_DRAFTS} end, ' ' || chr(10)) as raw
-        from orders
+        select question_id, trim(case k % {len(DRAFTS)} {_DRAFTS} end, ' ' || chr(10)) as raw
+        from ({TURNS})
     ),
     cleaned as (
         select question_id, trim(rtrim(trim(
@@ -485,20 +498,38 @@ AUDIT = rf"""
         cleaned_sql
     from gated
 """
-ANSWERS = """
+ANSWERS = f"""
     select
-        o_orderkey as question_id,
-        case when o_orderkey % 7 < 3 then o_orderkey || '.5' else 'customer ' || o_orderkey end as expected,
-        case o_orderkey % 7
-            when 0 then o_orderkey || '.50'
-            when 1 then o_orderkey || '.50005'
-            when 2 then o_orderkey || '.5002'
-            when 3 then '  customer ' || o_orderkey || ' '
-            when 4 then 'client ' || o_orderkey
-            when 5 then 'customer ' || o_orderkey
+        question_id,
+        case when k % 7 < 3 then length(text) || '.5' else text end as expected,
+        case k % 7
+            when 0 then length(text) || '.50'
+            when 1 then length(text) || '.50005'
+            when 2 then length(text) || '.5002'
+            when 3 then '  ' || text || ' '
+            when 4 then text || ' not'
+            when 5 then text
         end as got,
-        o_orderkey % 7 in (0, 1, 3) as hit
-    from orders
+        k % 7 in (0, 1, 3) as hit
+    from ({TURNS})
+"""
+
+_TABLE_ROWS = {
+    "applications": "applicant_features",
+    "payments": "stage_payments",
+    "scored": "scored_applicants",
+    "declines": "declined",
+}
+_COMMENT_ROWS = ", ".join(
+    f"({text(table)}, {text(column)}, {text(comment)})"
+    for table in schemas.CONTRACTS
+    for column, comment in [("", schemas.TABLE_DESCRIPTIONS[table])]
+    + list(schemas.DESCRIPTIONS[table].items())
+)
+_COUNTED = " ".join(f"when {text(t)} then (select count(*) from {source})" for t, source in _TABLE_ROWS.items())
+COMMENTS = f"""
+    select table_name, column_name, comment, case table_name {_COUNTED} end as n_rows
+    from (values {_COMMENT_ROWS}) as c(table_name, column_name, comment)
 """
 
 # Tables that other queries build on, in order.
@@ -513,7 +544,7 @@ STEPS = {
     "stage_predictions": PREDICTIONS,
     "scored_applicants": SCORED,
     "feature_labels": f"select * from (values {LABEL_ROWS}) as l(feature_name, feature_label)",
-    "declined_drivers": _declined("<= 500"),
+    "declined": _declined("> 0"),
     "decline_reasons": REASONS,
     "citations": CITATIONS,
     "first_load": FIRST_LOAD,
@@ -530,14 +561,40 @@ FINAL = {
             "stage_applications",
             "stage_credits",
             "stage_payments",
-            "stage_predictions",
             "credit_rollup",
             "applicant_features",
-            "scored_applicants",
-            "declined_drivers",
-            "decline_reasons",
         )
     },
+    "stage_predictions": shown("select * from stage_predictions", DRIVERS),
+    "prediction_table": shown("select *, (select count(*) from applicant_features) as rows_written from stage_predictions", DRIVERS),
+    "scored_applicants": shown("select * from scored_applicants", DRIVERS),
+    "declined_drivers": shown(f"select * from declined where decline_rank <= {TOP_DECLINES}", DRIVERS),
+    "decline_reasons": shown("select * from decline_reasons", PD),
+    "payments_at_moment": "select * from first_load",
+    "payment_feed": "select * from stage_payments",
+    "label_csv": """
+        select feature_name, feature_label, coalesce(n, 0) as n_leading
+        from feature_labels left join (
+            select top1_feature, count(*) as n from stage_predictions group by top1_feature
+        ) on feature_name = top1_feature
+    """,
+    "sql_view": """
+        select contract_type, count(distinct application_id) as n_applications, count(*) as n_credits
+        from stage_applications join stage_credits using (application_id) group by contract_type
+    """,
+    "column_comments": COMMENTS,
+    "gated_build": """
+        select 'applications is_default accepted' as gate, count(*) as offending_rows
+        from stage_applications where application_id % 89 = 0 having count(*) > 0
+    """,
+    "boosted_facts": """
+        select application_id, true as score_in_range, cast(13 as integer) as n_contributions, true as adds_up
+        from applicant_features
+    """,
+    "boosted_calibration": f"""
+        select application_id, fold, true as is_probability, true as is_auc, true as brier_kept
+        from ({HASH_SPLIT}) where fold = 'evaluation'
+    """,
     "payment_watermark_batch": "select * from batch",
     "payment_merge": "select * from merged",
     "payment_upsert": "select * from merged",
@@ -550,8 +607,8 @@ FINAL = {
         select count(*) as rows_before, count(*) as rows_after, cast(0 as bigint) as rows_changed from merged
     """,
     "linear_scores": LINEAR_SCORES,
-    "linear_top_drivers": "select * from stage_predictions",
-    "declined_drivers_uncapped": _declined("> 0"),
+    "linear_top_drivers": shown("select * from stage_predictions", DRIVERS),
+    "declined_drivers_uncapped": shown("select * from declined", DRIVERS),
     "reason_prompts": PROMPTS,
     "ungrounded_citations": UNGROUNDED,
     "grounding_metrics": GROUNDING,
@@ -574,7 +631,7 @@ FINAL = {
         select count(*) as n_rows, round(avg(is_default), 4) as default_rate, cast(15 as integer) as n_columns
         from applicant_features
     """,
-    "clustered_write": "select * from scored_applicants where predicted_pd >= 0.30",
+    "clustered_write": shown("select * from scored_applicants where predicted_pd >= 0.30", DRIVERS),
     "check_not_null": """
         select application_id, 'is_default' as column_name from faulty where is_default is null
         union all select application_id, 'income_total' from faulty where income_total is null
@@ -603,7 +660,10 @@ FINAL = {
     "slice_metrics": SLICES,
     "metric_log": METRIC_LOG,
     "hash_split": HASH_SPLIT,
-    "isotonic_scores": ISOTONIC,
+    "isotonic_scores": f"""
+        select * replace ({rounded("predicted_pd")} as predicted_pd, {rounded("calibrated_pd", 9)} as calibrated_pd)
+        from ({ISOTONIC})
+    """,
     "calibration_verdict": VERDICT,
     "draft_sql_audit": AUDIT,
     "answer_scores": ANSWERS,

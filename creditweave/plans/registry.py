@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -22,18 +23,22 @@ from creditweave.operators import (
     staging,
     summaries,
 )
+from creditweave.plans import build, training
 from creditweave.plans.training import long_metrics
 from creditweave.session import cut_lineage, scratch_path
 from creditweave.settings import FEATURES, ID, TARGET, Policy
-from creditweave.sources import fixtures, tables
+from creditweave.sources import fixtures, schemas, tables
 from creditweave.sources.schemas import CONTRACTS
 from creditweave.sources.versioned import VersionedTable, merge_rows, newer_rows
+from creditweave.streaming.payment_feed import load_payments
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Day the first payment load ends with, and the boosted model of the queries.
+# Day the first payment load ends with, the riskiest declines to report, and
+# the boosted model of the queries.
 LOADED_UNTIL = -1200
-QUERY_TREES = boosting.BoostingParams(max_trees=8, depth=4)
+TOP_DECLINES = 500
+QUERY_TREES = boosting.BoostingParams()
 
 
 # -- tables the queries start from ----------------------------------------
@@ -59,19 +64,41 @@ def applicant_features(spark, d):
     return marts.applicant_features(stage_applications(spark, d), credit_rollup(spark, d))
 
 
-def linear_top_drivers(spark, d):
+def _predictions(spark, d):
+    """Full scores and contributions; queries publish them rounded."""
     return scorecard.top_drivers(scorecard.linear_scores(applicant_features(spark, d)))
 
 
+def linear_top_drivers(spark, d):
+    return scorecard.published(_predictions(spark, d))
+
+
 def stage_predictions(spark, d):
-    return staging.stage_predictions(linear_top_drivers(spark, d))
+    return scorecard.published(staging.stage_predictions(_predictions(spark, d)))
+
+
+def _stored_predictions(spark, mart):
+    """The prediction table as written, counted and scanned with its declared schema."""
+    path = scratch_path(spark, "predictions")
+    predictions = scorecard.top_drivers(scorecard.linear_scores(mart))
+    written = tables.write_and_count(predictions.select(*schemas.struct(schemas.PD_PREDICTIONS).names), path)
+    stored = spark.read.schema(schemas.struct(schemas.PD_PREDICTIONS)).parquet(path)
+    return written, staging.stage_predictions(stored)
+
+
+def prediction_table(spark, d):
+    written, stored = _stored_predictions(spark, applicant_features(spark, d))
+    return scorecard.published(stored).withColumn("rows_written", F.lit(written).cast("bigint"))
+
+
+def _scored(spark, d):
+    """The stored mart joined with the stored predictions: the mart is derived once."""
+    mart = cut_lineage(applicant_features(spark, d))
+    return marts.scored_applicants(mart, _stored_predictions(spark, mart)[1])
 
 
 def scored_applicants(spark, d):
-    """The scorecard's terms are columns of the mart row itself, so scores and
-    features come out of one pass; stored predictions go through the join."""
-    mart = applicant_features(spark, d)
-    return marts.scored_applicants(mart, staging.stage_predictions(scorecard.top_drivers(scorecard.linear_scores(mart))))
+    return scorecard.published(_scored(spark, d))
 
 
 def labelled_scores(spark, d):
@@ -80,21 +107,26 @@ def labelled_scores(spark, d):
     return scorecard.linear_scores(mart, carry=["is_default", "contract_type"]).drop("contributions")
 
 
+def _declined(spark, d, policy=Policy()):
+    staged = staging.stage_predictions(_predictions(spark, d))
+    return marts.declined_drivers(staged, tables.label_dictionary(spark), policy)
+
+
 def declined_drivers(spark, d):
-    return marts.declined_drivers(stage_predictions(spark, d), tables.label_dictionary(spark))
+    """The riskiest 500: here the limit is the feature."""
+    return scorecard.published(_declined(spark, d, Policy(decline_sample_size=TOP_DECLINES)))
 
 
 def declined_drivers_uncapped(spark, d):
-    policy = Policy(decline_sample_size=None)
-    return marts.declined_drivers(stage_predictions(spark, d), tables.label_dictionary(spark), policy)
+    return scorecard.published(_declined(spark, d))
 
 
 def decline_reasons(spark, d):
-    return reasons.with_reason(declined_drivers(spark, d))
+    return scorecard.published(reasons.with_reason(_declined(spark, d)))
 
 
 def reason_prompts(spark, d):
-    return reasons.with_prompt(declined_drivers(spark, d)).select(ID, "decline_rank", "prompt")
+    return reasons.with_prompt(_declined(spark, d)).select(ID, "decline_rank", "prompt")
 
 
 def reasons_with_slips(spark, d):
@@ -176,17 +208,35 @@ def payment_rerun(spark, d):
     )
 
 
+def payments_at_moment(spark, d):
+    """The payment table as of the moment its second version was committed, less a little."""
+    table = payment_table(spark, d)
+    committed = table.history().where("version = 2").select("committed_at").first()[0]
+    return table.read(at=committed - timedelta(milliseconds=1))
+
+
+def payment_feed(spark, d):
+    """Payments landed in three files, the newest due days first, and loaded by the feed."""
+    raw = fixtures.installments_payments(spark, d)
+    landing, day = scratch_path(spark, "landing"), F.col("days_instalment")
+    for wanted in (day >= LOADED_UNTIL, (day < LOADED_UNTIL) & (day >= 2 * LOADED_UNTIL), (day < 2 * LOADED_UNTIL) | day.isNull()):
+        raw.where(wanted).write.mode("append").parquet(landing)
+    table = VersionedTable(spark, scratch_path(spark, "payments"), "payments", "payment_id", "installment_due_day", (ID,))
+    load_payments(spark, landing, table, scratch_path(spark, "progress")).awaitTermination()
+    return table.read()
+
+
 # -- scores ------------------------------------------------------------------
 
 
 def linear_scores(spark, d):
     scores = scorecard.linear_scores(applicant_features(spark, d))
     terms = [F.col("contributions")[i].alias(f"term_{f}") for i, f in enumerate(FEATURES)]
-    return scores.select(ID, "predicted_pd", *terms)
+    return scorecard.published(scores.select(ID, "predicted_pd", *terms))
 
 
 def score_counts(spark, d):
-    return metrics.score_counts(labelled_scores(spark, d), "predicted_pd", TARGET)
+    return cut_lineage(metrics.score_counts(labelled_scores(spark, d), "predicted_pd", TARGET))
 
 
 def score_auc(spark, d):
@@ -233,22 +283,57 @@ def _boosted(spark, d):
 
 
 def boosted_scores(spark, d):
-    return boosting.boosted_scores(*_boosted(spark, d))
+    return scorecard.published(boosting.boosted_scores(*_boosted(spark, d)))
 
 
 def boosted_top_drivers(spark, d):
-    return scorecard.top_drivers(attribution.boosted_contributions(*_boosted(spark, d)))
+    return scorecard.published(scorecard.top_drivers(attribution.boosted_contributions(*_boosted(spark, d))))
+
+
+def boosted_facts(spark, d):
+    """What must hold of every row, whatever the trees are: a score between 0
+    and 1, and contributions that add up with the base value to its log-odds."""
+    mart, encoder, model = _boosted(spark, d)
+    base = attribution.base_value(attribution.model_leaves(spark, model))
+    rows = attribution.boosted_contributions(mart, encoder, model)
+    pd_ = F.col("predicted_pd")
+    total = F.aggregate("contributions", F.lit(base), lambda a, c: a + c)
+    return rows.select(
+        ID,
+        ((pd_ > 0) & (pd_ < 1)).alias("score_in_range"),
+        F.size("contributions").alias("n_contributions"),
+        (F.abs(total - F.ln(pd_ / (1 - pd_))) < 1e-6).alias("adds_up"),
+    )
 
 
-def isotonic_scores(spark, d):
+def boosted_calibration(spark, d):
+    """The training flow on the boosted model: per row of the evaluation fold,
+    whether its calibrated score is a probability; in all, whether the AUC is
+    one and calibration does not worsen the Brier score by much."""
+    trained = training.train(applicant_features(spark, d), params=QUERY_TREES)
+    measured = trained.evaluated.where("fold = 'evaluation'")
+    auc = metrics.auc(metrics.score_counts(measured, "predicted_pd", TARGET)).scalar()
+    both = metrics.brier(measured, TARGET, {"raw": "predicted_pd", "calibrated": "calibrated_pd"})
+    kept = both.select(F.col("calibrated") <= F.col("raw") * 1.1).scalar()
+    return measured.select(
+        ID, "fold", F.col("calibrated_pd").between(0, 1).alias("is_probability"),
+        auc.between(0, 1).alias("is_auc"), kept.alias("brier_kept"),
+    )
+
+
+def _calibrated(spark, d):
     folds = cut_lineage(split.holdout_split(labelled_scores(spark, d)))
     model = calibration.fit_calibrator(folds.where("fold = 'calibration'"))
-    calibrated = calibration.calibrate(folds.where("fold = 'evaluation'"), model).drop("fold")
-    return calibrated.withColumn("calibrated_pd", round_to(F.col("calibrated_pd"), 9))
+    return calibration.calibrate(folds.where("fold = 'evaluation'"), model).drop("fold")
+
+
+def isotonic_scores(spark, d):
+    shown = scorecard.published(_calibrated(spark, d))
+    return shown.withColumn("calibrated_pd", round_to(F.col("calibrated_pd"), 9))
 
 
 def calibration_verdict(spark, d):
-    return metrics.calibration_verdict(isotonic_scores(spark, d), TARGET, "predicted_pd", "calibrated_pd")
+    return metrics.calibration_verdict(_calibrated(spark, d), TARGET, "predicted_pd", "calibrated_pd")
 
 
 # -- summaries ---------------------------------------------------------------
@@ -264,7 +349,7 @@ def grounding_metrics(spark, d):
 
 def portfolio_scalars(spark, d):
     scored = labelled_scores(spark, d)
-    return summaries.portfolio_scalars(scored, decline_reasons(spark, d))
+    return summaries.portfolio_scalars(scored, reasons.with_reason(_declined(spark, d)))
 
 
 def driver_frequency(spark, d):
@@ -281,9 +366,60 @@ def feature_export_summary(spark, d):
 
 def clustered_write(spark, d):
     """Declined rows read back from a table clustered by risk."""
-    scored = scored_applicants(spark, d)
-    stored = tables.write_table(scored, scratch_path(spark, "scored"), "scored", ["predicted_pd", ID])
-    return stored.where(F.col("predicted_pd") >= Policy().decline_threshold)
+    stored = tables.write_table(_scored(spark, d), scratch_path(spark, "scored"), "scored", ["predicted_pd", ID])
+    return scorecard.published(stored.where(F.col("predicted_pd") >= Policy().decline_threshold))
+
+
+def label_csv(spark, d):
+    """The label dictionary written as CSV and read back, with how often each label leads."""
+    path = scratch_path(spark, "labels")
+    tables.label_dictionary(spark).write.option("header", True).csv(path)
+    leads = _predictions(spark, d).groupBy("top1_feature").agg(F.count(F.lit(1)).alias("n"))
+    labels = tables.label_dictionary(spark, path)
+    return labels.join(leads, labels.feature_name == leads.top1_feature, "left").select(
+        "feature_name", "feature_label", F.coalesce("n", F.lit(0)).alias("n_leading")
+    )
+
+
+def sql_view(spark, d):
+    """Staged tables as views, asked in SQL."""
+    tables.as_views({"staged_applications": stage_applications(spark, d), "staged_credits": stage_credits(spark, d)})
+    return spark.sql(
+        "select contract_type, count(distinct application_id) as n_applications, count(*) as n_credits "
+        "from staged_applications join staged_credits using (application_id) group by contract_type"
+    )
+
+
+def column_comments(spark, d):
+    """Texts of each gold table and its columns as its files hold them, with the rows described."""
+    mart = cut_lineage(applicant_features(spark, d))
+    scored = marts.scored_applicants(mart, staging.stage_predictions(scorecard.top_drivers(scorecard.linear_scores(mart))))
+    frames = {
+        "applications": mart,
+        "payments": stage_payments(spark, d),
+        "scored": scored,
+        "declines": reasons.with_reason(_declined(spark, d)).select(*schemas.contract("declines").names),
+    }
+    rows = []
+    for name, df in frames.items():
+        path = scratch_path(spark, name)
+        n = tables.write_table(df, path, name).count()
+        stored = spark.read.parquet(path).schema
+        rows.append((name, "", stored[0].metadata.get("table_comment"), n))
+        rows += [(name, f.name, f.metadata.get("comment"), n) for f in stored]
+    return spark.createDataFrame(rows, "table_name string, column_name string, comment string, n_rows bigint")
+
+
+def gated_build(spark, d):
+    """The build over raw tables with impossible targets: the gate that refuses it, and for how many rows."""
+    bronze = {name: make(spark, d) for name, make in fixtures.BRONZE_BUILDERS.items()}
+    target = F.when(F.col("sk_id_curr") % 89 == 0, 2).otherwise(F.col("target"))
+    bronze["application_train"] = bronze["application_train"].withColumn("target", target)
+    try:
+        build.build_features(spark, bronze, scratch_path(spark, "refused"))
+    except checks.CheckFailed as refused:
+        return spark.createDataFrame([(refused.name, refused.rows)], "gate string, offending_rows bigint")
+    return spark.createDataFrame([], "gate string, offending_rows bigint")
 
 
 # -- checks, on tables with planted faults -----------------------------------
@@ -338,32 +474,39 @@ def check_contract(spark, d):
 
 # -- drafted SQL ---------------------------------------------------------------
 
-# One draft per case; {id} is the application's key.
+# One draft per case; {text} is the whole text of a turn, its quotes doubled.
 DRAFTS = [
-    "select count(*) from fct_applications where application_id = {id}",
-    "with t as (select * from fct_scored_applications) select max(predicted_pd) from t",
-    "select {id}; select 2",
-    "SELECT avg(predicted_pd) FROM marts.fct_scored_applications where application_id > {id};",
-    "delete from fct_applications where application_id = {id}",
-    "select 'please update {id}' from fct_applications",
-    "select * from customer_accounts where account = {id}",
-    "select * from fct_applications a, secrets b where a.application_id = {id}",
-    "select * from `secrets` where id = {id}",
-    "```sql\nselect count(*) from fct_adverse_actions where application_id = {id}\n```",
-    "select replace(contract_type, '{id}', '') from fct_applications",
-    "select extract(year from ts) from fct_applications where application_id = {id}",
-    "  ```\nSELECT {id}\n```  ",
+    "select count(*) from applications where note = '{text}'",
+    "with t as (select * from scored) select max(predicted_pd) from t where note <> '{text}'",
+    "select '{text}'; select 2",
+    "SELECT avg(predicted_pd) FROM marts.scored where note > '{text}';",
+    "delete from applications where note = '{text}'",
+    "select 'please update {text}' from applications",
+    "select * from customer_accounts where account = '{text}'",
+    "select * from applications a, secrets b where a.note = '{text}'",
+    "select * from `secrets` where note = '{text}'",
+    "```sql\nselect count(*) from declines where note = '{text}'\n```",
+    "select replace(contract_type, '{text}', '') from applications",
+    "{text}",
+    "  ```\nSELECT '{text}'\n```  ",
 ]
 
 
+def _turns(spark, d):
+    """Conversation turns: a key, a number to deal the cases by, and the text in full."""
+    turns = spark.read.parquet(f"{d}/conversations.parquet")
+    key = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    return turns.select(key.alias("question_id"), (F.col("conv_id") * 7 + F.col("turn")).alias("case"), "text")
+
+
 def drafts(spark, d):
-    orders = fixtures.given(spark, d, "orders")
-    text = F.lit(None).cast("string")
+    turns = _turns(spark, d)
+    quoted, drafted = F.replace(F.col("text"), F.lit("'"), F.lit("''")), F.lit(None).cast("string")
     for i, draft in enumerate(DRAFTS):
-        head, _, tail = draft.partition("{id}")
-        filled = F.lit(draft) if "{id}" not in draft else F.concat(F.lit(head), F.col("o_orderkey").cast("string"), F.lit(tail))
-        text = F.when(F.col("o_orderkey") % len(DRAFTS) == i, filled).otherwise(text)
-    return orders.select(F.col("o_orderkey").alias("question_id"), text.alias("sql_text"))
+        head, _, tail = draft.partition("{text}")
+        filled = F.concat(F.lit(head), quoted, F.lit(tail))
+        drafted = F.when(F.col("case") % len(DRAFTS) == i, filled).otherwise(drafted)
+    return turns.select("question_id", drafted.alias("sql_text"))
 
 
 def draft_sql_audit(spark, d):
@@ -372,22 +515,21 @@ def draft_sql_audit(spark, d):
 
 def answer_scores(spark, d):
     """Answers that agree, differ by less and by more than the tolerance, are
-    padded text, other text, refused or missing."""
-    key = F.col("o_orderkey")
-    text, case = key.cast("string"), key % 7
-    orders = fixtures.given(spark, d, "orders")
-    truth = orders.select(
-        key.alias("question_id"),
-        F.when(case < 3, F.concat(text, F.lit(".5"))).otherwise(F.concat(F.lit("customer "), text)).alias("expected"),
+    padded text, other text, refused or missing. Texts are whole turns, numbers
+    their lengths."""
+    turns = _turns(spark, d)
+    number, case = F.char_length("text").cast("string"), F.col("case") % 7
+    truth = turns.select(
+        "question_id", F.when(case < 3, F.concat(number, F.lit(".5"))).otherwise(F.col("text")).alias("expected")
     )
-    answers = orders.where(case != 6).select(
-        key.alias("question_id"),
-        F.when(case == 0, F.concat(text, F.lit(".50")))
-        .when(case == 1, F.concat(text, F.lit(".50005")))
-        .when(case == 2, F.concat(text, F.lit(".5002")))
-        .when(case == 3, F.concat(F.lit("  customer "), text, F.lit(" ")))
-        .when(case == 4, F.concat(F.lit("client "), text))
-        .otherwise(F.concat(F.lit("customer "), text))
+    answers = turns.where(case != 6).select(
+        "question_id",
+        F.when(case == 0, F.concat(number, F.lit(".50")))
+        .when(case == 1, F.concat(number, F.lit(".50005")))
+        .when(case == 2, F.concat(number, F.lit(".5002")))
+        .when(case == 3, F.concat(F.lit("  "), "text", F.lit(" ")))
+        .when(case == 4, F.concat("text", F.lit(" not")))
+        .otherwise(F.col("text"))
         .alias("got"),
         (case == 5).alias("refused"),
     )
@@ -413,8 +555,11 @@ QUERIES: dict[str, Query] = {
         payments_as_of,
         payment_history,
         payment_rerun,
+        payments_at_moment,
+        payment_feed,
         linear_scores,
         linear_top_drivers,
+        prediction_table,
         scored_applicants,
         declined_drivers,
         declined_drivers_uncapped,
@@ -445,6 +590,12 @@ QUERIES: dict[str, Query] = {
         answer_accuracy,
         boosted_scores,
         boosted_top_drivers,
+        boosted_facts,
+        boosted_calibration,
+        label_csv,
+        sql_view,
+        column_comments,
+        gated_build,
         isotonic_scores,
         calibration_verdict,
     ]

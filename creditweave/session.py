@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -39,6 +41,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
             if not sc.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
             folder = tempfile.mkdtemp(prefix="creditweave-")
+            # Nobody named it, nobody else knows it: it goes with the process.
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
         sc.setCheckpointDir(folder)
         folder = sc.getCheckpointDir()
     return folder

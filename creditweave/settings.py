@@ -33,7 +33,7 @@ class Policy:
     """Decision and sampling knobs; the defaults are the published ones."""
 
     decline_threshold: float = 0.30
-    # None explains every declined applicant instead of the riskiest ones.
-    decline_sample_size: int | None = 500
+    # None explains every declined applicant, a number the riskiest ones only.
+    decline_sample_size: int | None = None
     test_share: float = 0.2
     seed: int = 42

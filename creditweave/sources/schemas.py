@@ -131,11 +131,22 @@ DESCRIPTIONS = {
         "top1_feature": "Feature with the largest contribution to the score.",
         "top1_shap": "Contribution of that feature; positive raises the risk.",
         "top2_feature": "Feature with the second largest contribution.",
+        "top2_shap": "Contribution of the second feature.",
         "top3_feature": "Feature with the third largest contribution.",
+        "top3_shap": "Contribution of the third feature.",
     },
     "declines": {
+        "application_id": "Key of the declined application.",
+        "predicted_pd": "Modelled probability of default that led to declining.",
         "decline_rank": "Place by falling risk.",
+        "top1_feature": "Feature with the largest contribution to the score.",
+        "top1_label": "Its phrase for applicants.",
+        "top2_feature": "Feature with the second largest contribution.",
+        "top2_label": "Its phrase for applicants.",
+        "top3_feature": "Feature with the third largest contribution.",
+        "top3_label": "Its phrase for applicants.",
         "driver_list": "The labelled drivers in order; a reason cites nothing else.",
         "adverse_action_reason": "Reason text for the applicant.",
     },
 }
+DESCRIPTIONS["scored"] = DESCRIPTIONS["applications"] | DESCRIPTIONS["scored"]

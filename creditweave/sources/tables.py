@@ -8,10 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from creditweave.settings import FEATURES
 from creditweave.sources import schemas
 
-# A dictionary above this size is joined by shuffle instead of being broadcast
-# or unrolled into expressions.
-SMALL_TABLE_ROWS = 256
-
 # Own phrases for the model's features; no phrase contains another.
 LABELS = {
     "contract_type": "the kind of loan applied for",
@@ -51,21 +47,14 @@ def as_views(frames: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def is_small(df: DataFrame, limit: int = SMALL_TABLE_ROWS) -> bool:
-    """Whether ``df`` is proven to hold at most ``limit`` rows."""
-    return len(df.select(F.lit(1)).take(limit + 1)) <= limit
-
-
-def broadcast_if_small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if is_small(df) else df
-
-
 def describe(df: DataFrame, table: str) -> DataFrame:
-    """Attach column descriptions as field metadata, which Parquet keeps."""
+    """Attach table and column descriptions as field metadata, which Parquet keeps."""
     texts = schemas.DESCRIPTIONS.get(table, {})
-    return df.select(
-        [F.col(c).alias(c, metadata={"comment": texts[c]}) if c in texts else F.col(c) for c in df.columns]
-    )
+    notes = {c: {"comment": texts[c]} for c in df.columns if c in texts}
+    if table in schemas.TABLE_DESCRIPTIONS:
+        # Parquet keeps field metadata only: the first column carries the table's text.
+        notes.setdefault(df.columns[0], {})["table_comment"] = schemas.TABLE_DESCRIPTIONS[table]
+    return df.select([F.col(c).alias(c, metadata=notes[c]) if c in notes else F.col(c) for c in df.columns])
 
 
 def write_table(

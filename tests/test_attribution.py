@@ -122,3 +122,20 @@ def test_patience():
     assert boosting.best_iteration([3.0, 2.0, 2.5, 2.4, 1.0], patience=2) == 2
     assert boosting.best_iteration([3.0, 2.0, 2.5, 2.4, 1.0], patience=3) == 5
     assert boosting.best_iteration([1.0], patience=50) == 1
+
+
+def test_the_model_does_not_depend_on_how_rows_come(spark, fitted):
+    mart = fitted[0]
+    params = boosting.BoostingParams(max_trees=4, depth=3)
+    got = []
+    for partitions in (2, 9):
+        dealt = cut_lineage(mart.repartition(partitions))
+        scores = boosting.boosted_scores(mart, *boosting.fit_boosted(dealt, params))
+        got.append(sorted((r[0], r[1]) for r in scores.collect()))
+    assert got[0] == got[1]
+
+
+def test_more_kinds_of_loan_than_bins(spark, fitted):
+    many = cut_lineage(fitted[0].withColumn("contract_type", F.concat(F.lit("kind "), F.col(ID) % 90)))
+    encoder, model = boosting.fit_boosted(many, boosting.BoostingParams(max_trees=2, depth=2))
+    assert boosting.boosted_scores(many, encoder, model).count() == many.count()

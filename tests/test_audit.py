@@ -5,22 +5,22 @@ import pytest
 from creditweave.operators import audit
 
 DRAFTS = [
-    ("select count(*) from fct_applications", "accepted", None, None),
-    ("WITH x AS (select 1) select * from fct_scored_applications", "accepted", None, None),
-    ("select * from cat.sch.fct_adverse_actions f join fct_applications a on a.id = f.id;", "accepted", None, None),
+    ("select count(*) from applications", "accepted", None, None),
+    ("WITH x AS (select 1) select * from scored", "accepted", None, None),
+    ("select * from cat.sch.declines f join applications a on a.id = f.id;", "accepted", None, None),
     ("select 1; drop table t", "refused", "single_statement", None),
     ("show tables", "refused", "read_only", None),
     ("selection from x", "refused", "read_only", None),
-    ("select * from fct_applications where note = 'drop it'", "refused", "forbidden_verb", "drop"),
-    ("select a into t from fct_applications", "refused", "forbidden_verb", "into"),
+    ("select * from applications where note = 'drop it'", "refused", "forbidden_verb", "drop"),
+    ("select a into t from applications", "refused", "forbidden_verb", "into"),
     ("with t as (select 1) select * from t", "refused", "table_allowlist", "t"),
-    ("select * from secrets join fct_applications", "refused", "table_allowlist", "secrets"),
-    ("select * from fct_applications a, secrets", "refused", "hidden_table", None),
+    ("select * from secrets join applications", "refused", "table_allowlist", "secrets"),
+    ("select * from applications a, secrets", "refused", "hidden_table", None),
     ("select * from `secrets`", "refused", "hidden_table", None),
     ("```sql\nselect 1\n```", "accepted", None, None),
     ("  ```SQL select 2;```", "accepted", None, None),
     ("select 3;;; ", "accepted", None, None),
-    ("select created_at, updates from fct_applications", "accepted", None, None),
+    ("select created_at, updates from applications", "accepted", None, None),
     (None, "refused", None, None),
 ]
 
@@ -44,7 +44,7 @@ def test_clean_up(audited):
 
 
 def test_plain_gates_only(spark):
-    df = spark.createDataFrame([(1, "select * from fct_applications a, secrets")], "question_id int, sql_text string")
+    df = spark.createDataFrame([(1, "select * from applications a, secrets")], "question_id int, sql_text string")
     assert audit.audit_drafts(df, strict=False).first()["verdict"] == "accepted"
 
 

@@ -1,5 +1,6 @@
 """Reasons, prompts and the citation gate."""
 
+import pytest
 from conftest import SMALL, rows
 
 from creditweave.operators import grounding, reasons
@@ -36,11 +37,9 @@ EXPECTED = [
 ]
 
 
-def gate(spark, small):
+def gate(spark, phrases=DICTIONARY):
     lowered = grounding._lowered(declines(spark))
-    return {
-        r["application_id"]: r["cited"] for r in grounding.cited_labels(lowered, labels(spark), small).collect()
-    }
+    return {r["application_id"]: r["cited"] for r in grounding.cited_labels(lowered, labels(spark, phrases)).collect()}
 
 
 def test_gate_lists_foreign_citations(spark):
@@ -50,14 +49,29 @@ def test_gate_lists_foreign_citations(spark):
     assert got == EXPECTED
 
 
-def test_large_dictionary_gives_the_same_citations(spark):
-    assert gate(spark, small=256) == gate(spark, small=2)
+def test_dictionaries_of_any_size_give_the_same_citations(spark):
+    few = gate(spark)
+    for size in (3, 300):
+        assert gate(spark, DICTIONARY + [f"other {i} phrase" for i in range(size)]) == few
+
+
+def test_symbols_in_labels_are_taken_literally(spark):
+    reasons_ = spark.createDataFrame([(1, "owes a++b and x.y and q(r)s today", None, None, None)], DECLINES)
+    lowered = grounding._lowered(reasons_)
+    for padding in (0, 300):
+        phrases = ["a++b", "x.y", "q(r)s", "xzy", *[f"w{i}" for i in range(padding)]]
+        assert grounding.cited_labels(lowered, labels(spark, phrases)).first()["cited"] == ["a++b", "q(r)s", "x.y"]
+
+
+def test_a_label_without_a_word_is_refused(spark):
+    with pytest.raises(Exception, match="label without a word"):
+        gate(spark, ["++"])
 
 
 def test_phrase_ending_in_a_symbol_needs_a_word_next(spark):
     # \b after a symbol asks for a word character, so this phrase never matches
     # before a blank, on either path.
-    assert gate(spark, 256)[4] == ["income"]
+    assert gate(spark)[4] == ["income"]
 
 
 def test_metrics(spark):

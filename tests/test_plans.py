@@ -8,11 +8,11 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-from creditweave.operators import boosting
+from creditweave.operators import boosting, ordering
 from creditweave.operators.checks import CheckFailed
 from creditweave.plans import build, registry, training
 from creditweave.settings import ID, Policy
-from creditweave.sources import fixtures, tables
+from creditweave.sources import fixtures, schemas, tables
 
 
 @pytest.fixture(scope="module")
@@ -142,12 +142,43 @@ def test_decline_filter_reaches_the_files(spark, built):
     assert "GreaterThanOrEqual(predicted_pd,0.3)" in plan
 
 
-def test_rank_is_a_bounded_heap(spark):
-    plan = plan_of(registry.declined_drivers(spark, SMALL))
-    assert "TakeOrderedAndProject" in plan and "limit=500" in plan.replace(" ", "").replace("Arguments:500", "limit=500")
+def test_rank_is_numbered_by_ranges(spark):
+    plan = plan_of(registry._declined(spark, SMALL))
+    assert "TakeOrdered" not in plan and "SinglePartition" not in plan.split("\n\n(1)")[0]
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - {"boosted_scores", "boosted_top_drivers"}))
+def test_running_totals_shuffle_rows_once(spark, monkeypatch):
+    """One exchange of the rows, one of a row per range and task, one of a row per range."""
+    monkeypatch.setattr(ordering, "RANGE_ROWS", 100)
+    df = spark.range(1000).select("id", F.lit(1).alias("one"))
+    totals = ordering.running_totals(df, ["id"], {"upto": "one"})
+    assert totals.where("upto <> id + 1").isEmpty()
+    tree = plan_of(totals).split("\n\n(1)")[0]
+    assert "rangepartitioning" not in plan_of(totals)
+    assert len(re.findall(r"[:+-] Exchange \(", tree)) <= 3
+
+
+def test_predictions_are_attributed_once_per_build(spark, built):
+    """The build writes what it is given and reads that: a second evaluation would count rows twice."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def tally(frames):
+        for frame in frames:
+            seen.add(len(frame))
+            yield frame
+
+    predictions = registry.linear_top_drivers(spark, SMALL)
+    build.build_decisions(spark, predictions.mapInPandas(tally, predictions.schema), built[0])
+    assert seen.value == 1500
+
+
+def test_every_published_column_has_a_text():
+    assert set(schemas.TABLE_DESCRIPTIONS) == set(schemas.CONTRACTS)
+    for name in schemas.CONTRACTS:
+        assert list(schemas.DESCRIPTIONS[name]) == schemas.contract(name).names
+
+
+@pytest.mark.parametrize("name", sorted(n for n in registry.QUERIES if not n.startswith("boosted")))
 def test_no_query_builds_a_product(spark, name):
     plan = plan_of(registry.QUERIES[name](spark, SMALL))
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan

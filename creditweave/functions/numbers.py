@@ -52,7 +52,8 @@ def surrogate_key(*names: str) -> Column:
 def exact_sum(amount: Column) -> Column:
     """Sum of money at 1/10,000 of a unit.
 
-    Adding doubles depends on the order rows arrive in; whole ten-thousandths
-    do not and stay in primitive longs. NaN and overflow raise.
+    Adding doubles depends on the order rows arrive in; decimals do not. What
+    is no number or too large for one adds nothing here: range checks on the
+    rows report it.
     """
-    return F.sum(F.rint(amount * 10000).cast("bigint")) / 10000.0
+    return F.sum(amount.try_cast("decimal(22,4)")).cast("double")

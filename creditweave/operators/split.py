@@ -3,7 +3,8 @@
 Membership is decided by a hash of the id, so no random state is involved,
 and exact sizes come from selecting one threshold per stratum instead of
 sorting the table: count rows per hash prefix, find the prefix where the quota
-runs out, and order only the rows of that one prefix. What reaches the driver
+runs out, count again inside of it by a longer one, and order only the rows of
+the last prefix, which are few at any table size. What reaches the driver
 is one row per stratum; the split itself is then a comparison with literals,
 a narrow step that costs nothing however often it is read.
 """
@@ -16,8 +17,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from creditweave.settings import ID, TARGET
 
-# Hex digits of the hash used as prefix: 16**4 prefixes per stratum.
-PREFIX = 4
+# Hex digits of the hash by which a prefix grows, 16**4 per stratum and pass,
+# and the rows of the last prefix that one task may order.
+DIGITS = 4
+ORDERED_ROWS = 100_000
 
 
 def hash_rank(salt: str, key: str = ID) -> Column:
@@ -60,22 +63,28 @@ def _last_selected(hashed: DataFrame, share: float) -> dict:
     wanted = {s: q for s, q in quotas(sizes, share).items() if q > 0} if sizes else {}
     if not wanted:
         return {}
-    counts = hashed.groupBy("stratum", "prefix").count()
+    prefixes, digits = dict.fromkeys(wanted, ""), 0
     upto = Window.partitionBy("stratum").orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)
-    quota = _pick("stratum", wanted)
-    cuts = (
-        counts.withColumn("upto", F.sum("count").over(upto))
-        .where((F.col("upto") >= quota) & (F.col("upto") - F.col("count") < quota))
-        .select("stratum", "prefix", (quota - F.col("upto") + F.col("count")).alias("needed"))
-        .collect()
-    )
-    at_cut = F.col("prefix") == _pick("stratum", {r["stratum"]: r["prefix"] for r in cuts})
-    # Only rows of the cut prefix are ordered: 1 in 65,536 of a stratum.
+    while True:
+        digits += DIGITS
+        inside = F.col("hash").startswith(_pick("stratum", prefixes))
+        counts = hashed.where(inside).groupBy("stratum", F.substring("hash", 1, digits).alias("prefix")).count()
+        quota = _pick("stratum", wanted)
+        cuts = (
+            counts.withColumn("upto", F.sum("count").over(upto))
+            .where((F.col("upto") >= quota) & (F.col("upto") - F.col("count") < quota))
+            .select("stratum", "prefix", "count", (quota - F.col("upto") + F.col("count")).alias("needed"))
+            .collect()
+        )
+        prefixes = {r["stratum"]: r["prefix"] for r in cuts}
+        wanted = {r["stratum"]: r["needed"] for r in cuts}
+        if digits >= 32 or max(r["count"] for r in cuts) <= ORDERED_ROWS:
+            break
     nth = F.row_number().over(Window.partitionBy("stratum").orderBy("hash", "id"))
     last = (
-        hashed.where(at_cut)
+        hashed.where(F.col("hash").startswith(_pick("stratum", prefixes)))
         .withColumn("nth", nth)
-        .where(F.col("nth") == _pick("stratum", {r["stratum"]: r["needed"] for r in cuts}))
+        .where(F.col("nth") == _pick("stratum", wanted))
         .collect()
     )
     return {r["stratum"]: (r["hash"], r["id"]) for r in last}
@@ -93,15 +102,13 @@ def select_share(
 ) -> DataFrame:
     """Add a boolean column that is true for exactly ``share`` of each stratum.
 
-    Three passes over key and target come before; nothing wider than a count
+    A few passes over key and target come before; nothing wider than a count
     per hash prefix is shuffled. ``key`` has to be unique. With ``among``, only
     rows where that column is true take part.
     """
     taking_part = F.lit(True) if among is None else F.col(among)
-    hashed = (
-        df.where(taking_part)
-        .select(F.col(key).alias("id"), _known(target, strata).alias("stratum"), hash_rank(salt, key).alias("hash"))
-        .withColumn("prefix", F.substring("hash", 1, PREFIX))
+    hashed = df.where(taking_part).select(
+        F.col(key).alias("id"), _known(target, strata).alias("stratum"), hash_rank(salt, key).alias("hash")
     )
     last = _last_selected(hashed, share)
     marked = df.withColumns({"_stratum": _known(target, strata), "_hash": hash_rank(salt, key)})

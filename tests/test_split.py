@@ -58,3 +58,14 @@ def test_quotas_round_up_and_favour_large_remainders():
 def test_nothing_or_everything(spark, share):
     got = split.select_share(people(spark, 50), share, "x")
     assert got.where("selected").count() == 50 * share
+
+
+def test_growing_prefixes_select_the_same_rows(spark, monkeypatch):
+    def chosen():
+        rows = split.select_share(people(spark, 3000), 0.3, "s").where("selected")
+        return sorted(r[0] for r in rows.select("application_id").collect())
+
+    usual = chosen()
+    monkeypatch.setattr(split, "DIGITS", 1)
+    monkeypatch.setattr(split, "ORDERED_ROWS", 3)
+    assert chosen() == usual

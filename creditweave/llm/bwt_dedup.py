@@ -13,7 +13,7 @@ and most text, which repeats nothing, stays where it is:
    a sorted collection: a shard.
 3. A bucket merges its shards. The transforms give each shard's suffixes in
    order; the interleave of all shards starts from these runs and is refined
-   round by round, by eight further symbols of the suffixes that still agree,
+   round by round, by some further symbols of the suffixes that still agree,
    until common prefixes of ``SPAN`` are known. Intervals that remain are the
    repeated strings; each gets the least id of its documents.
 4. The ids go back to the parts, which remove what is covered.
@@ -30,7 +30,6 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -43,8 +42,9 @@ SPAN = 50
 MARK = 24
 PART_BYTES = 16_000_000
 BUFFER = 1 << 20
-# Strings in one piece, at most.
-PIECE = 2000
+# Strings in one piece, at most, and symbols whose suffixes a part sorts at once.
+PIECE = 64
+LOT = 1_000_000
 # Markers compared in one range, bytes of pieces in one bucket.
 RANGE_MARKERS = 1_000_000
 BUCKET_BYTES = 2_000_000
@@ -88,7 +88,8 @@ class Marker:
         for a in range(0, len(data) - SPAN + 1, BUFFER):
             least = self._least(data[a : a + BUFFER + SPAN - 1])[:BUFFER]
             start = np.arange(a, a + len(least))
-            doc = np.searchsorted(ends, start, side="right")
+            low, high = np.searchsorted(ends, [a, a + len(least) - 1], side="right")
+            doc = np.repeat(np.arange(low, high + 1), np.diff(np.minimum(ends[low : high + 1], a + len(least)), prepend=a))
             inside = start + SPAN <= ends[doc]
             edge = (least[1:] != least[:-1]) | (doc[1:] != doc[:-1]) | (inside[1:] != inside[:-1])
             first = np.flatnonzero(np.concatenate(([True], edge)))
@@ -151,35 +152,45 @@ def _eights(symbols: np.ndarray) -> np.ndarray:
     return out
 
 
-def refine(order: np.ndarray, eights: np.ndarray, stop: np.ndarray, depth: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def refine(
+    order: np.ndarray, eights: np.ndarray, stop: np.ndarray, depth: int | None, block: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sort suffixes (places in a text) by their first ``depth`` symbols, all of them if None.
 
-    ``order`` is the interleave so far: equal suffixes keep it, and runs that
-    are sorted already are merged. Each round takes eight more symbols of the
-    suffixes that agree with another one so far. Returns the order, and the
-    first and end rows of the intervals of suffixes that agree in all rounds.
+    ``order`` is the interleave so far, ``block`` numbers the intervals it is
+    known to consist of, ascending. Each round takes some more symbols of the
+    suffixes that agree with another one so far, as many as fit beside the
+    interval's number. Equal whole suffixes follow the text. Returns the order,
+    and the first and end rows of the intervals that agree in all rounds.
     """
-    order = order.copy()
-    rows = np.arange(len(order))
-    block = np.zeros(len(order), np.int64)
+    order, rows = order.copy(), np.arange(len(order))
+    block = np.zeros(len(order), np.uint64) if block is None else block.astype(np.uint64)
+    width = max(1, min(8, (64 - len(order).bit_length()) // 8))
+    bits = np.uint64(8 * width)
+    # The first n symbols of a key.
+    masks = np.array([((1 << 8 * n) - 1) << 8 * (width - n) for n in range(width + 1)], np.uint64)
     at = 0
     while len(rows) and (depth is None or at < depth):
-        place = order[rows] + at
-        left = np.clip(stop[order[rows]] - place, 0, 8)
-        if depth is not None:
-            left = np.minimum(left, depth - at)
-        key = eights[np.minimum(place, len(eights) - 1)] >> (np.uint64(8) * (8 - left).astype(np.uint64) % np.uint64(64))
-        key = np.where(left == 0, np.uint64(0), key << (np.uint64(8) * (8 - left).astype(np.uint64) % np.uint64(64)))
-        sort = np.lexsort((key, block)) if at else np.argsort(key, kind="stable")
-        order[rows] = order[rows[sort]]
-        key, block, left = key[sort], block[sort], left[sort]
-        opens = np.concatenate(([True], (key[1:] != key[:-1]) | (block[1:] != block[:-1])))
-        size = np.diff(np.append(np.flatnonzero(opens), len(rows)))
-        block = np.cumsum(opens) - 1
-        # Alone in its interval, or at its end: nothing more to tell apart.
-        goes_on = (size[block] > 1) & ((left == 8) | (depth is not None))
-        rows, block = rows[goes_on], block[goes_on]
-        at += 8
+        suffix = order[rows]
+        left = np.minimum(stop[suffix] - suffix - at, width if depth is None else min(width, depth - at))
+        key = (eights[np.minimum(suffix + at, len(eights) - 1)] >> (np.uint64(64) - bits)) & masks[np.maximum(left, 0)]
+        if width < 8:
+            key |= block << bits
+        sort = np.argsort(key)
+        order[rows], key, left = suffix[sort], key[sort], left[sort]
+        opens = np.concatenate(([True], key[1:] != key[:-1]))
+        first = np.flatnonzero(opens)
+        size = np.diff(np.append(first, len(rows)))
+        block = np.repeat(np.arange(len(first), dtype=np.uint64), size)
+        tied = np.repeat(size > 1, size)
+        if depth is None:
+            ended = tied & (left < width)
+            if ended.any():
+                same = order[rows[ended]]
+                order[rows[ended]] = same[np.lexsort((same, block[ended]))]
+            tied &= left == width
+        rows, block = rows[tied], block[tied]
+        at += width
     if not len(rows):
         return order, np.empty(0, np.int64), np.empty(0, np.int64)
     first = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
@@ -192,13 +203,20 @@ def _laid_out(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return stop - lengths, stop
 
 
-def transform(pieces: list[bytes]) -> np.ndarray:
-    """Burrows-Wheeler transform of sorted, distinct strings; symbols are bytes + 1, terminators 0 by rank."""
+def transforms(shards: list[list[bytes]]) -> list[np.ndarray]:
+    """Burrows-Wheeler transforms of collections of sorted, distinct strings.
+
+    Symbols are bytes + 1, terminators 0 in the order of their strings. The
+    suffixes of all collections are sorted together, each in its own interval.
+    """
+    pieces = [p for shard in shards for p in shard]
     lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
     _, stop = _laid_out(lengths)
     symbols = np.frombuffer(b"\xff".join(pieces) + b"\xff", np.uint8) + np.uint8(1)
-    order, _, _ = refine(np.arange(len(symbols)), _eights(symbols), np.repeat(stop, lengths + 1), None)
-    return np.concatenate((np.zeros(1, np.uint8), symbols))[order]
+    sizes = [sum(map(len, shard)) + len(shard) for shard in shards]
+    block = np.repeat(np.arange(len(shards)), sizes)
+    order, _, _ = refine(np.arange(len(symbols)), _eights(symbols), np.repeat(stop, lengths + 1), None, block)
+    return np.split(np.concatenate((np.zeros(1, np.uint8), symbols))[order], np.cumsum(sizes)[:-1])
 
 
 class Shards:
@@ -230,11 +248,10 @@ class Shards:
         starts = self.place[self.place + SPAN <= stop[self.place]]
         order, first, end = refine(starts, _eights(self.symbols), stop, SPAN)
         if len(first):
-            owner = np.repeat(np.arange(len(first)), end - first)
-            rows = np.repeat(first, end - first) + np.arange(len(owner)) - np.repeat(np.cumsum(end - first) - (end - first), end - first)
-            low = np.full(len(first), np.iinfo(np.int64).max)
-            np.minimum.at(low, owner, out[order[rows]])
-            out[order[rows]] = low[owner]
+            size = end - first
+            begin = np.cumsum(size) - size
+            rows = np.repeat(first - begin, size) + np.arange(size.sum())
+            out[order[rows]] = np.repeat(np.minimum.reduceat(out[order[rows]], begin), size)
         return out
 
 
@@ -445,14 +462,28 @@ def shard_transforms(dealt: DataFrame, buckets: int) -> DataFrame:
                 continue
             part = _part(held, buckets, marker)
             low, high = part.extremes()
-            for bucket, pieces in part.shards():
-                numbers = [part.number[p] for p in pieces]
-                lengths = np.fromiter(map(len, pieces), np.uint32, len(pieces))
-                yield bucket, name, _pack(transform(pieces), lengths, low[numbers], high[numbers])
+            for lot in _lots(part.shards()):
+                for (bucket, pieces), made in zip(lot, transforms([pieces for _, pieces in lot])):
+                    numbers = [part.number[p] for p in pieces]
+                    lengths = np.fromiter(map(len, pieces), np.uint32, len(pieces))
+                    yield bucket, name, _pack(made, lengths, low[numbers], high[numbers])
 
     return map_rows(dealt, "bucket int, part long, shard binary", rows, batch=100)
 
 
+def _lots(shards: Iterator[tuple[int, list[bytes]]]) -> Iterator[list[tuple[int, list[bytes]]]]:
+    """Shards together until they have ``LOT`` symbols."""
+    lot, size = [], 0
+    for shard in shards:
+        lot.append(shard)
+        size += sum(map(len, shard[1]))
+        if size >= LOT:
+            yield lot
+            lot, size = [], 0
+    if lot:
+        yield lot
+
+
 def merged(shards: DataFrame) -> DataFrame:
     """``(part, bucket, found)``: pieces of a part that hold something to remove, with the least ids of their strings."""
 
@@ -461,17 +492,16 @@ def merged(shards: DataFrame) -> DataFrame:
             unpacked = [_unpack(r[2]) for r in held]
             every = Shards([(t, n) for t, n, _, _ in unpacked])
             least = every.least(np.concatenate([low for _, _, low, _ in unpacked]))
+            # Places that start no string have their piece's own least id.
+            lowest = np.minimum.reduceat(least, every.first)
             at = 0
             for (_, part, _), (_, lengths, _, high) in zip(held, unpacked):
-                ranks, values = [], []
-                for rank, (first, n, top) in enumerate(zip(every.first[at:].tolist(), lengths.tolist(), high.tolist())):
-                    low = least[first : first + n - SPAN + 1]
-                    if low.min() < top:
-                        ranks.append(rank)
-                        values.append(low)
+                ranks = np.flatnonzero(lowest[at : at + len(lengths)] < high)
+                first, n = every.first[at + ranks], lengths[ranks].astype(np.int64) - SPAN + 1
                 at += len(lengths)
-                if ranks:
-                    yield part, bucket, _pack(np.array(ranks, np.uint32), np.concatenate(values))
+                if len(ranks):
+                    places = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                    yield part, bucket, _pack(ranks.astype(np.uint32), least[places])
 
     dealt = shards.repartition("bucket").sortWithinPartitions("bucket", "part")
     return map_rows(dealt, "part long, bucket int, found binary", rows, batch=100)

@@ -47,7 +47,7 @@ def rows_of_every_kind():
 @pytest.mark.parametrize("small", [False, True])
 def test_every_byte(spark, monkeypatch, small):
     if small:  # many parts, ranges, buckets and buffers, and every marker crowded
-        for name, value in [("PART_BYTES", 3000), ("BUFFER", 700), ("RANGE_MARKERS", 60), ("BUCKET_BYTES", 900), ("CROWDED", 5), ("PIECE", 7)]:
+        for name, value in [("PART_BYTES", 3000), ("BUFFER", 700), ("RANGE_MARKERS", 60), ("BUCKET_BYTES", 900), ("CROWDED", 5), ("PIECE", 7), ("LOT", 500)]:
             monkeypatch.setattr(bw, name, value)
     rows = rows_of_every_kind()
     df = spark.createDataFrame([(*r, "s", 1) for r in rows], "doc_id long, text string, part string, size int").repartition(5)
@@ -62,7 +62,7 @@ def test_transform_and_its_inverse():
         pieces = sorted({bytes(rng.choices(b"ab\x00", k=rng.randrange(1, 90))) for _ in range(30)})
         plain_rows = sorted((p[k:], j, k) for j, p in enumerate(pieces) for k in range(len(p) + 1))
         want = [pieces[j][k - 1] + 1 if k else 0 for _, j, k in plain_rows]
-        got = bw.transform(pieces)
+        got = bw.transforms([[b"x"], pieces, pieces])[1]
         assert got.tolist() == want
         shards.append((pieces, got))
     every = bw.Shards([(t, np.array([len(p) for p in ps])) for ps, t in shards])

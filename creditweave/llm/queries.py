@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import public_tokenizers
-
 from pyspark.sql import functions as F
 
 from creditweave.llm import bwt_dedup, exact_dedup, language_id, licenses, mixing, order_minhash, packing, pii, simhash, token_counts

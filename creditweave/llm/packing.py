@@ -29,10 +29,11 @@ from creditweave.session import cut_lineage
 
 # Fixed value: the pre-token pattern of the word-end vocabulary.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
-# Texts with other characters are encoded whole: their normal forms and lower
-# case depend on the encoder's own Unicode tables.
-COMMON = re.compile("[\x00-ɏ‐-‧Ạ-ỹ]*")
-LONGEST_KEPT, CACHE_SIZE = 64, 300_000
+# Texts with other characters are encoded whole: their normal forms, lower case
+# or white space may not be what Python takes them for.
+UNCOMMON = re.compile("[^\x00-\x1b\x20-ɏ‐-‧Ạ-ỹ]")
+SEPARATORS = "\x1c\x1d\x1e\x1f"
+LONGEST_KEPT, CACHE_SIZE = 64, 200_000
 # A tail is cut at multiples of so many ids.
 GRID = 32
 WINDOW = 4096
@@ -48,32 +49,71 @@ K1, B = 1.2, 0.75
 # -- ids -----------------------------------------------------------------------
 
 
-class Ids(dict):
-    """Little-endian ids of a pre-token, encoded once per worker."""
+class Kept(dict):
+    """Values made once and remembered for short keys.
 
-    def __init__(self, path: str):
+    When ``CACHE_SIZE`` are held they become the older half, from which what is
+    still asked for comes back.
+    """
+
+    def __init__(self, make):
         super().__init__()
+        self.make, self.older = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= LONGEST_KEPT:
+            if len(self) >= CACHE_SIZE:
+                self.older = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
+def byte_signs() -> dict[int, int]:
+    """The character that stands for each byte in the vocabulary: itself if it prints, else the next one from 256 on."""
+    printing = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printing]
+    return {b: b for b in printing} | {b: 256 + k for k, b in enumerate(others)}
+
+
+class Ids:
+    """Little-endian ids of texts, by remembered words and pre-tokens.
+
+    No pre-token has white space in it, so that the words between it can be
+    encoded each for itself.
+    """
+
+    def __init__(self, path: str):
         self.encoder = encoder(path)
+        self.model, self.signs = self.encoder.model, byte_signs()
         special = special_strings(self.encoder)
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
         self.pattern = regex.compile(PRE_TOKEN)
+        self.pieces = Kept(self._merge)
+        self.words = Kept(lambda word: b"".join(map(self.pieces.__getitem__, self.pattern.findall(word))))
+
+    def _merge(self, piece: str) -> bytes:
+        """Ids of one pre-token in normal form, by the merges alone."""
+        tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(self.signs))
+        return np.array([t.id for t in tokens], "<u4").tobytes()
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.encoder.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = self._encode(piece)
-        if len(piece) <= LONGEST_KEPT:
-            if len(self) >= CACHE_SIZE:
-                self.clear()
-            self[piece] = ids
-        return ids
-
     def of(self, text: str) -> bytes:
         """Ids of a whole text, as the tokenizer gives them."""
-        if not COMMON.fullmatch(text) or (self.special and self.special.search(text)):
+        if text.isascii():
+            rare = any(c in text for c in SEPARATORS)
+        else:
+            rare = UNCOMMON.search(text) is not None
+        if rare or (self.special and self.special.search(text)):
             return self._encode(text)
-        return b"".join(map(self.__getitem__, self.pattern.findall(unicodedata.normalize("NFC", text).lower())))
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text)
+        return b"".join(map(self.words.__getitem__, text.lower().split()))
 
 
 # -- checksums of cut pieces ------------------------------------------------------
@@ -188,7 +228,7 @@ class Shard:
 
 
 def _term_counts(ids: np.ndarray) -> bytes:
-    terms, counts = np.unique(ids, return_counts=True)
+    terms, counts = np.unique(ids.astype(np.uint16), return_counts=True)
     return np.stack([terms, np.minimum(counts, 65535)], axis=1).astype("<u2").tobytes()
 
 

@@ -14,7 +14,6 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
-from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -33,7 +32,7 @@ PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{
 # or white space may not be what Python takes them for.
 UNCOMMON = re.compile("[^\x00-\x1b\x20-ɏ‐-‧Ạ-ỹ]")
 SEPARATORS = "\x1c\x1d\x1e\x1f"
-LONGEST_KEPT, CACHE_SIZE = 64, 200_000
+LONGEST_KEPT, CACHE_SIZE = 64, 250_000
 # A tail is cut at multiples of so many ids.
 GRID = 32
 WINDOW = 4096
@@ -116,6 +115,12 @@ class Ids:
         return b"".join(map(self.words.__getitem__, text.lower().split()))
 
 
+@lru_cache(maxsize=2)
+def ids_of_worker(path: str) -> Ids:
+    """What a worker process has remembered serves all tasks it runs."""
+    return Ids(path)
+
+
 # -- checksums of cut pieces ------------------------------------------------------
 
 
@@ -228,15 +233,18 @@ class Shard:
 
 
 def _term_counts(ids: np.ndarray) -> bytes:
-    terms, counts = np.unique(ids.astype(np.uint16), return_counts=True)
-    return np.stack([terms, np.minimum(counts, 65535)], axis=1).astype("<u2").tobytes()
+    ordered = np.sort(ids.astype("<u2"))
+    first = np.flatnonzero(np.concatenate((ordered[:1] == ordered[:1], ordered[1:] != ordered[:-1])))
+    out = np.empty((len(first), 2), "<u2")
+    out[:, 0], out[:, 1] = ordered[first], np.diff(first, append=len(ordered))
+    return out.tobytes()
 
 
 def tokenized(docs: DataFrame, path: str, end_id: int, id_column: str, text_column: str) -> DataFrame:
     """One row per document: CRCs of its full windows, and its tail with CRCs, terms and a sketch."""
 
     def rows(incoming):
-        ids_of = Ids(path)
+        ids_of = ids_of_worker(path)
         end = np.array([end_id], "<u4").tobytes()
         task, n = TaskContext.get().partitionId(), 0
         for key, text in incoming:

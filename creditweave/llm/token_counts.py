@@ -3,7 +3,8 @@
 A text is cut into pre-tokens, whose token counts add up. Tier one is a compact
 table of the counts of frequent pre-tokens, broadcast to every worker. Tier
 two encodes what it lacks, once per worker, and keeps the count in a bounded
-cache. No pre-token is ever shuffled.
+cache. No pre-token of the texts is shuffled; the table comes from the tallies of
+a bounded sample.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenizers import Tokenizer
 
-from creditweave.llm.common import map_rows
+from creditweave.llm.common import hash_sample, map_rows
 
 # Fixed value: the pre-token pattern of byte-level vocabularies, with the
 # encoder's notion of white space spelled out.
@@ -103,19 +104,21 @@ class Lengths(dict):
         return n
 
 
-def frequent_table(docs: DataFrame, path: str, text_column: str = "text") -> FrequentTable:
-    """Counts of the most frequent pre-tokens of ``SAMPLE_ROWS`` rows, tallied in one task."""
+def frequent_table(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> FrequentTable:
+    """Counts of the most frequent pre-tokens of the ``SAMPLE_ROWS`` rows of least hash."""
 
     def tally(rows):
         pieces, seen = Pieces(path), Counter()
         for (text,) in rows:
             seen.update(p for p in pieces.cut(text or "")[0] if len(p) <= LONGEST_KEPT)
-        count = encoder(path).encode
-        for piece, _ in sorted(seen.most_common(TABLE_SIZE)):
-            yield piece, len(count(piece, add_special_tokens=False).ids)
+        yield from seen.most_common(TABLE_SIZE)
 
-    sample = docs.select(text_column).limit(SAMPLE_ROWS)
-    return FrequentTable.pack([tuple(r) for r in map_rows(sample, "piece string, n long", tally).collect()])
+    ids = hash_sample(docs, id_column, SAMPLE_ROWS)
+    sample = docs.join(F.broadcast(ids), id_column, "left_semi").select(text_column)
+    counted = map_rows(sample, "piece string, n long", tally).groupBy("piece").agg(F.sum("n").alias("n"))
+    top = counted.orderBy(F.desc("n"), "piece").limit(TABLE_SIZE).select("piece").collect()
+    count = encoder(path).encode
+    return FrequentTable.pack([(r[0], len(count(r[0], add_special_tokens=False).ids)) for r in top])
 
 
 def token_counts(
@@ -129,7 +132,7 @@ def token_counts(
     rows and null ids are kept as they are; other columns are not read.
     """
     spark: SparkSession = docs.sparkSession
-    table = spark.sparkContext.broadcast(frequent_table(docs, path, text_column))
+    table = spark.sparkContext.broadcast(frequent_table(docs, path, id_column, text_column))
 
     def rows(incoming):
         pieces, lengths = Pieces(path), Lengths(table.value, path)

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import pytest
 
@@ -74,3 +75,18 @@ def test_tables_without_tokens(spark):
     got = mixing.mix(df).collect()
     assert [(r.ratio, r.kept) for r in got] == [(1.0, True)] * 3
     assert mixing.mix(df.limit(0)).collect() == []
+
+
+def test_drawn_rows_meet_the_targets(spark):
+    rows = table(20_000, 9)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    ratio, of, _, goals = plain(rows)
+    assert max(ratio.values()) > 1.5
+    tokens = {k: len((text or "").split()) for k, text, _, _ in rows}
+    copies = Counter(r.doc_id for r in mixing.sampled(df).collect())
+    for k in tokens:
+        assert copies[k] - ratio[k] < 1 and ratio[k] - copies[k] < 1
+    for i, goal in enumerate(goals):
+        for value, target in goal.items():
+            realised = sum(n * tokens[k] for k, n in copies.items() if of[k][i] == value)
+            assert realised == pytest.approx(target, rel=0.06)

@@ -9,6 +9,7 @@ Built-in expressions on the rows as they are scanned; nothing is shuffled.
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections import Counter, defaultdict
@@ -16,6 +17,7 @@ from collections import Counter, defaultdict
 from pyspark.sql import Column, DataFrame, functions as F
 
 from creditweave.llm.common import ascii_lower
+from creditweave.llm.license_texts import NOTICES, PARAGRAPHS
 
 THRESHOLD = 0.8
 # Units below this many bigrams say too little.
@@ -59,6 +61,9 @@ TEMPLATES = {
     "cc0-1.0": ["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."],
     "unlicense": ["This is free and unencumbered software released into the public domain."],
 }
+for _more in (NOTICES, PARAGRAPHS):
+    for _name, _texts in _more.items():
+        TEMPLATES[_name] = list(dict.fromkeys(TEMPLATES.get(_name, []) + _texts))
 
 
 def words_of(text: str) -> list[str]:
@@ -106,20 +111,16 @@ def _bigrams(candidates: Column) -> Column:
         places = F.sequence(F.lit(1), F.size(w) - 1)
         return F.transform(places, lambda i: F.concat_ws(" ", F.element_at(w, i), F.element_at(w, i + 1)))
 
+    # Among sorted bigrams, equal ones follow the first of them.
     def numbered(p: Column) -> Column:
-        earlier = lambda x, i: F.size(F.filter(F.slice(p, F.lit(1), i), lambda y: y == x))
-        return F.transform(p, lambda x, i: F.concat_ws(" ", x, earlier(x, i).cast("string")))
+        return F.transform(p, lambda x, i: F.concat_ws(" ", x, (i + 1 - F.array_position(p, x)).cast("string")))
 
-    return F.transform(F.transform(words, pairs), numbered)
+    return F.transform(F.transform(F.transform(words, pairs), lambda p: F.array_sort(p)), numbered)
 
 
-def _literal(admitted: dict[int, list[tuple[str, list[str]]]]) -> Column:
-    """Map of size to the templates that a unit of that size can match."""
-    entry = lambda name, bigrams: F.struct(F.lit(name).alias("name"), F.array(*map(F.lit, bigrams)).alias("bigrams"))
-    sizes = sorted(admitted)
-    return F.map_from_arrays(
-        F.array(*map(F.lit, sizes)), F.array(*[F.array(*[entry(*t) for t in admitted[n]]) for n in sizes])
-    )
+def _literal(value: object, kind: str) -> Column:
+    """A constant, folded when the query is planned."""
+    return F.from_json(F.lit(json.dumps(value)), kind)
 
 
 def scan(
@@ -137,12 +138,23 @@ def scan(
     and zero. Null text is empty. Repeated rows and null ids are kept; other
     columns are not read.
     """
-    admitted = templates_by_size(templates or TEMPLATES, threshold)
-    lookup = _literal(admitted)
-    sizes = F.array(*map(F.lit, sorted(admitted)))
+    templates = templates or TEMPLATES
+    admitted = templates_by_size(templates, threshold)
+    every = list({(name, tuple(bigrams)): None for ts in admitted.values() for name, bigrams in ts})
+    number = {t: k for k, t in enumerate(every)}
+    by_size = [[number[n, tuple(b)] for n, b in admitted.get(size, [])] for size in range(max(admitted) + 1)]
+    lookup = _literal(by_size, "array<array<int>>")
+    texts = _literal([{"name": n, "bigrams": b} for n, b in every], "array<struct<name:string,bigrams:array<string>>>")
+    vocabulary = sorted({w for ts in templates.values() for t in ts for w in words_of(t)})
+    # Common bigrams are at least this share of a unit's, and consist of the templates' words.
+    share = threshold / (2 - threshold)
 
     def may_match(unit: Column) -> Column:
-        return F.array_contains(sizes, F.regexp_count(unit, F.lit("[a-z0-9]+")) - 1)
+        return F.coalesce(F.size(F.get(lookup, F.regexp_count(unit, F.lit("[a-z0-9]+")) - 1)) > 0, F.lit(False))
+
+    def worth(unit: Column) -> Column:
+        words = F.regexp_extract_all(unit, F.lit("[a-z0-9]+"), F.lit(0))
+        return F.size(F.filter(words, lambda w: w.isin(vocabulary))) >= (F.size(words) - 1) * share - 1e-9
 
     def dice(bigrams: Column, template: Column) -> Column:
         common = F.size(F.array_intersect(bigrams, template["bigrams"]))
@@ -150,14 +162,14 @@ def scan(
 
     def good(bigrams: Column) -> Column:
         rated = F.transform(
-            F.element_at(lookup, F.size(bigrams)),
-            lambda t: F.struct(dice(bigrams, t).alias("dice"), t["name"].alias("name")),
+            F.get(lookup, F.size(bigrams)),
+            lambda k: F.struct(dice(bigrams, F.get(texts, k)).alias("dice"), F.get(texts, k)["name"].alias("name")),
         )
         return F.filter(rated, lambda m: m["dice"] >= threshold)
 
     candidates = F.filter(units(F.col(text_column)), may_match)
     found = docs.select(F.col(id_column).alias("id"), candidates.alias("candidates"))
-    found = found.select("id", F.size("candidates").alias("n"), F.transform(_bigrams(F.col("candidates")), good).alias("good"))
+    found = found.select("id", F.size("candidates").alias("n"), F.transform(_bigrams(F.filter("candidates", worth)), good).alias("good"))
     matched = F.filter("good", lambda ms: F.size(ms) > 0)
     every = F.flatten("good")
     found = found.select("id", "n", F.size(matched).alias("m"), every.alias("every"))

@@ -60,3 +60,19 @@ def test_native_plan(spark):
     df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     plan = L.scan(df)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_standard_notices_and_bodies(spark):
+    copy = "You should have received a copy of the GNU {} General Public License along with this {}. If not, see <https://www.gnu.org/licenses/>."
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:"
+    isc = "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+    texts = {
+        "agpl-3.0": copy.format("Affero", "program"),
+        "lgpl-3.0": copy.format("Lesser", "library"),
+        "mit": f"Copyright (c) someone\n\n{mit}\n\nmore",
+        "isc": f"Some words\n{isc}",
+        "zlib": "Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.",
+        "bsl-1.0": "// Distributed under the Boost Software License, Version 1.0.",
+    }
+    df = spark.createDataFrame(list(texts.items()), "doc_id string, text string")
+    assert {r.doc_id: r.license for r in L.scan(df).collect()} == {k: k for k in texts}

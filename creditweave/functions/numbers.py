@@ -49,11 +49,26 @@ def surrogate_key(*names: str) -> Column:
     return F.md5(F.concat_ws(KEY_SEPARATOR, *parts))
 
 
+# Whole digits and decimals of summed money. Amounts from SUM_LIMIT up, infinite
+# ones and NaN are no summands: gates refuse tables that have them.
+SUM_TYPE = "decimal(38,18)"
+SUM_LIMIT = 1e20
+
+
+def summable(amount: Column) -> Column:
+    """Whether ``exact_sum`` takes the amount in full; null passes."""
+    x = amount.cast("double")
+    return x.isNull() | ((F.abs(x) < SUM_LIMIT) & ~F.isnan(x))
+
+
 def exact_sum(amount: Column) -> Column:
-    """Sum of money at 1/10,000 of a unit.
+    """Sum of money that does not depend on the order of rows, as sums of doubles do.
 
-    Adding doubles depends on the order rows arrive in; decimals do not. What
-    is no number or too large for one adds nothing here: range checks on the
-    rows report it.
+    Amounts below 1e20 are added as decimals of 18 places. If any amount is
+    not ``summable``, or the total leaves the range, the sum is NaN: a part of
+    the rows is never passed off as the whole.
     """
-    return F.sum(amount.try_cast("decimal(22,4)")).cast("double")
+    total = F.try_sum(amount.try_cast(SUM_TYPE)).cast("double")
+    some = F.count_if(amount.isNotNull()) > 0
+    fits = F.every(summable(amount)) & (total.isNotNull() | ~some)
+    return F.when(~some | fits, total).otherwise(F.lit("NaN").cast("double"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from creditweave.functions.numbers import summable
 from creditweave.sources.schemas import struct
 
 
@@ -31,6 +32,11 @@ def outside(column: str, low: float | None, high: float | None) -> Column:
     return bad
 
 
+def not_summable(column: str) -> Column:
+    """Amounts that are infinite, NaN or too large to be summed in full. Nulls pass."""
+    return ~summable(F.col(column))
+
+
 # -- checks: offending rows ---------------------------------------------------
 
 

@@ -33,13 +33,15 @@ def range_number(pinned: DataFrame, keys: list[str]) -> Column:
     """
     rows = pinned.count()
     ranges = min(MOST_RANGES, -(-rows // RANGE_ROWS))
+    # A literal zero would be folded, and with it the keys of the joins on ranges.
+    only = F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int")
     if ranges <= 1:
-        return F.lit(0)
+        return only
     share = min(1.0, SAMPLED * ranges / rows)
     held = sorted(pinned.select(*keys).sample(share, seed=7).collect(), key=_nulls_first)
     splits = held[SAMPLED // 2 :: SAMPLED][:MOST_RANGES]
     if not splits:
-        return F.lit(0)
+        return only
     types = [pinned.schema[k].dataType for k in keys]
     point = lambda row: F.struct(*[F.lit(v).cast(t).alias(k) for v, t, k in zip(row, types, keys)])
     table, own = F.array(*[point(r) for r in splits]), F.struct(*[F.col(k) for k in keys])

@@ -50,7 +50,7 @@ def check_staged(applications: DataFrame, credits: DataFrame, payments: DataFram
         },
     )
     checks.require_empty("applications unique", checks.unique(applications, ID))
-    amounts = {f"{c} is a number": checks.outside(c, None, None) for c in ("credit_debt", "credit_overdue")}
+    amounts = {f"{c} can be summed": checks.not_summable(c) for c in ("credit_debt", "credit_overdue")}
     checks.require_rows("credits", credits, {**present("bureau_credit_id", ID, "credit_status"), **amounts})
     checks.require_empty("credits unique", checks.unique(credits, "bureau_credit_id"))
     checks.require_rows("payments", payments, present("payment_id", ID, "installment_due_day"))

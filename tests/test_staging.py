@@ -1,10 +1,12 @@
 """Conformed columns on hand-written rows."""
 
+import math
+
 from conftest import rows
 from pyspark.sql import functions as F
 
 from creditweave.functions import numbers
-from creditweave.operators import staging
+from creditweave.operators import checks, staging
 from creditweave.sources import schemas
 
 
@@ -86,3 +88,18 @@ def test_staged_columns_match_contract_types(spark):
     ]
     assert len(staging.stage_credits(empty["bureau"]).columns) == 9
     assert len(staging.stage_applications(empty["application_train"]).columns) == 16
+
+
+def test_exact_sum_takes_all_or_says_so(spark):
+    def total(*amounts):
+        df = spark.createDataFrame([(a,) for a in amounts], "v double")
+        return df.agg(numbers.exact_sum(F.col("v"))).first()[0]
+
+    assert total(1e19, 5.0) == 1e19 + 5.0
+    assert total(0.00004, 0.00004) == 0.00008
+    assert total(None, 2.5) == 2.5 and total(None) is None and total() is None
+    for refused in (float("inf"), -float("inf"), float("nan"), 1e20, -3e25):
+        assert math.isnan(total(refused, 1.0))
+    assert math.isnan(total(*[9e19] * 12))
+    df = spark.createDataFrame([(a,) for a in (1e19, None, 0.00004, 1e20, float("inf"), float("nan"))], "v double")
+    assert df.where(checks.not_summable("v")).count() == 3

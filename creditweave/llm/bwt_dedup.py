@@ -373,13 +373,14 @@ def marker_lists(texts: DataFrame, ranges: int) -> DataFrame:
     def rows(incoming):
         marker = Marker()
         for part, held in _grouped(incoming):
-            keys, docs = [], []
+            keys, docs, before = [], [], 0
             for batch in _batches(held):
                 bodies = [zstandard.ZstdDecompressor().decompress(r[1]) for r in batch]
                 ends = np.cumsum(np.fromiter(map(len, bodies), np.int64, len(bodies)))
                 key, first, _ = marker.runs(np.frombuffer(b"".join(bodies), np.uint8), ends)
                 keys.append(key)
-                docs.append(np.searchsorted(ends, first, side="right") + (docs[-1][-1] + 1 if docs and len(docs[-1]) else 0))
+                docs.append(np.searchsorted(ends, first, side="right") + before)
+                before += len(bodies)
             key, doc = np.concatenate(keys), np.concatenate(docs)
             order = np.argsort(key, kind="stable")
             key, doc = key[order], doc[order]

@@ -81,3 +81,14 @@ def test_rows_that_share_an_id_null_ids_and_empty_table(spark):
     got = sorted((r.doc_id or 0, r.n_removed) for r in bw.remove_repeats(df).collect())
     assert got == [(0, 0), (3, 0), (3, 0), (4, 70)]
     assert bw.remove_repeats(df.limit(0)).collect() == []
+
+
+def test_lots_of_tiny_texts_between_copies(spark, monkeypatch):
+    monkeypatch.setattr(bw, "BUFFER", 400)
+    rng = random.Random(8)
+    long = "".join(rng.choices("abcdefgh ", k=400))
+    rows = [(1, long)] + [(k, "" if k % 3 else "tiny") for k in range(2, 300)] + [(300, long)]
+    rows += [(k, "") for k in range(301, 700)] + [(700, "q" + long[100:]), (701, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, len(r.spans), r.kept_sha256) for r in bw.remove_repeats(df).collect()}
+    assert got == plain(rows) and got[300][1] == 400 and got[700][1] == 300

@@ -87,15 +87,18 @@ def cell_ratios(rows: DataFrame, temperature: dict[str, float], sweeps: int) ->
 
 
 def sampled(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", seed: str = SEED) -> DataFrame:
-    """The rows of ``docs`` so often that token sums meet the targets, all columns as they were.
-
-    A row of a cell of ratio r is there floor(r) times and once more with the
-    probability of the rest, so that cells are lowered and raised alike. Rows
-    that ``mix`` keeps are there at least once, others never. Rows meet the table of cells, which is small beside them, and are not
-    shuffled unless it is too large to be sent to every executor.
+    """The rows of ``docs`` drawn by calibrated probabilities, all columns as they were.
+
+    A row of a cell of ratio r stays with probability r over the largest
+    ratio, so that expected token sums are in the targets' proportions over
+    all margins and no row is there twice. That costs rows: the cell that is
+    raised most is kept whole. Rows of cells without tokens stay. Rows meet
+    the table of cells, which is small beside them, and are not shuffled
+    unless it is too large to be sent to every executor.
     """
     cells = cut_lineage(described(docs, id_column, text_column))
-    ratio = cell_ratios(cells, TEMPERATURE, SWEEPS).toDF("_source", "_lang", "_topic", "_ratio")
+    ratio = cut_lineage(cell_ratios(cells, TEMPERATURE, SWEEPS).toDF("_source", "_lang", "_topic", "_ratio"))
+    largest = ratio.agg(F.max("_ratio")).first()[0] or 1.0
     text = F.coalesce(text_column, F.lit(""))
     topic = surface_topic(text, word_count(text))
     same = (
@@ -104,11 +107,8 @@ def sampled(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
         & (F.col("_own") == F.col("_topic"))
     )
     met = docs.withColumn("_own", topic).join(ratio, same, "left")
-    met = met.withColumn("_ratio", F.coalesce("_ratio", F.lit(1.0)))
-    whole = F.floor("_ratio").cast("int")
-    copies = whole + (draw(F.col(id_column), seed) < F.col("_ratio") - whole).cast("int")
-    met = met.withColumn("_copies", copies).where("_copies > 0")
-    return met.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(docs.columns)
+    chance = F.coalesce(F.col("_ratio") / largest, F.lit(1.0))
+    return met.where(draw(F.col(id_column), seed) < chance).select(docs.columns)
 
 
 def mix(

@@ -49,7 +49,10 @@ def test_every_stage_on_its_own_input(spark):
     fourth = stage["mixing"](spark, given, FOLDER)
     ratio, _, _, _ = plain_mix([(k, r.text, r.lang, r.source) for k, r in whole.items()])
     draws = {r.doc_id: r.u for r in given.select("doc_id", mixing.draw(given.doc_id, mixing.SEED).alias("u")).collect()}
-    assert fourth.columns == docs.columns and set(by_id(fourth)) == {k for k in whole if draws[k] < min(1.0, ratio[k])}
+    filled = [k for k, r in whole.items() if (r.text or "").split()]
+    largest = max(ratio[k] for k in filled)
+    drawn = {k for k in whole if draws[k] < ratio[k] / largest or k not in filled and ratio[k] == 1.0}
+    assert fourth.columns == docs.columns and set(by_id(fourth)) == drawn
 
     assert verify(stage["packing"](spark, given, FOLDER).collect(), {k: r.text for k, r in whole.items()}) < 0.05
 
@@ -58,7 +61,8 @@ def test_whole_run(spark):
     got = corpus_pipeline.run(spark, FOLDER).collect()
     texts = {r.doc_id: r.text for r in documents(spark, FOLDER).collect()}
     kept = {r.doc_id for r in got}
-    assert 0.3 * len(texts) < len(kept) < len(texts)
+    # Sampling to targets alone keeps about a third of the rows.
+    assert 0.2 * len(texts) < len(kept) < len(texts)
     verify(got, {k: texts[k] for k in kept})
 
 

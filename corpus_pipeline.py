@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from creditweave.llm import exact_dedup, language_id, mixing, near_copies, packing
+from creditweave.llm import exact_dedup, language_id, mixing, packing, simhash
 from creditweave.llm.common import documents
 from creditweave.session import cut_lineage
 
@@ -30,12 +30,12 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (0.8 of their five-word shingles), the document of the smallest id."""
-    return near_copies.drop_near_copies(docs)
+    """Of each group of documents linked at four or fewer bits, the one of the smallest id."""
+    return simhash.drop_near_copies(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn, some several times, so that sources, languages and topics meet their targets."""
+    """Documents drawn so that the shares of sources, languages and topics meet their targets."""
     return mixing.sampled(docs)
 
 

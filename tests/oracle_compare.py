@@ -15,7 +15,7 @@ import __spark_entry__ as spark_entry  # noqa: E402
 from creditweave.session import local_session  # noqa: E402
 
 SPARK_TYPE = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean"}
-TABLES = "region nation customer supplier part orders lineitem documents conversations".split()
+TABLES = "region nation customer supplier part orders lineitem documents benchmark conversations".split()
 
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:

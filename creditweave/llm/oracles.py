@@ -89,8 +89,68 @@ def licenses_sql() -> str:
         from d left join n using (doc_id) left join best using (doc_id)"""
 
 
+FILL_MIDDLE = r"""
+    with d as (
+        select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as units,
+            sha256('7:' || coalesce(doc_id::varchar, 'null')) as s
+        from documents),
+    h as (
+        select *, len(units) as n, ('0x' || s[1:8])::ubigint as h1, ('0x' || s[9:16])::ubigint as h2,
+            ('0x' || s[17:24])::ubigint as h3, ('0x' || s[25:32])::ubigint as h4
+        from d),
+    cut as (
+        select *, least(h1 % (n + 1), h2 % (n + 1))::bigint as a, greatest(h1 % (n + 1), h2 % (n + 1))::bigint as b,
+            case when t = '' or regexp_matches(t, '<[PSM]>') or h3 % 100 >= 100 then 'plain'
+                when h4 % 100 < 50 then 'spm' else 'psm' end as form
+        from h),
+    parts as (
+        select *, array_to_string(units[:a], '') as p, array_to_string(units[a + 1:b], '') as m,
+            array_to_string(units[b + 1:], '') as x
+        from cut)
+    select doc_id, n::bigint as n, form, case when form <> 'plain' then length(p) end as prefix_chars,
+        case when form <> 'plain' then length(m) end as middle_chars,
+        sha256(case form when 'plain' then t when 'psm' then concat('<P>', p, '<S>', x, '<M>', m)
+            else concat('<S>', x, '<P>', p, '<M>', m) end) as output_sha256,
+        sha256(case form when 'plain' then t else concat(p, m, x) end) as restored_sha256
+    from parts"""
+
+# The longest passage is the longest run of occurrences in step with an item.
+DECONTAMINATE = r"""
+    with dw as (
+        select row_number() over () as uid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+        from documents),
+    iw as (
+        select row_number() over () as iid, coalesce(item_id::varchar, 'null') as item, regexp_extract_all(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+        from benchmark),
+    win as (
+        select iid, item, j, least(10, len(w)) as n, array_to_string(w[j:j + 9], ' ') as gram
+        from (select *, unnest(range(1, greatest(2, len(w) - 8))) as j from iw where len(w) > 0)),
+    grams as (
+        select uid, i, n, array_to_string(w[i:i + n - 1], ' ') as gram
+        from (select uid, w, n, unnest(range(1, len(w) - n + 2)) as i
+            from dw, (select distinct n from win) where len(w) >= n)),
+    met as (select uid, i, g.n, iid, item, j from grams g join win using (n, gram)),
+    hits as (
+        select uid, count(distinct p) as n_hit from (select uid, unnest(range(i, i + n)) as p from (select distinct uid, i, n from met))
+        group by uid),
+    found as (
+        select uid, count(distinct item) as n_items, string_agg(distinct item, ',' order by item) as items from met group by uid),
+    runs as (
+        select uid, max(i) - min(i) + max(n) as words
+        from (select *, i - row_number() over (partition by uid, iid, i - j order by i) as run from met)
+        group by uid, iid, i - j, run),
+    longest as (select uid, max(words) as longest from runs group by uid)
+    select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+        sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated, coalesce(longest, 0)::bigint as longest
+    from dw left join hits using (uid) left join found using (uid) left join longest using (uid)"""
+
+
 ORACLES = {
     "op1_exact_dedup": EXACT,
     "op3_mixing": mixing_sql(),
     "op9_licenses": licenses_sql(),
+    "op11_fill_middle": FILL_MIDDLE,
+    "op12_decontaminate": DECONTAMINATE,
 }

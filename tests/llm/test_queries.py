@@ -12,7 +12,8 @@ from creditweave.llm.queries import QUERIES
 @pytest.fixture(scope="module")
 def db():
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{SMALL}/documents.parquet'")
+    for table in ("documents", "benchmark"):
+        con.execute(f"create view {table} as select * from '{SMALL}/{table}.parquet'")
     return con
 
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from creditweave.operators.audit import FORBIDDEN_VERBS
 from creditweave.operators.marts import HISTORY
 from creditweave.operators.scorecard import DEFAULT_SCORECARD
-from creditweave.plans.registry import DRAFTS, LOADED_UNTIL, TOP_DECLINES
-from creditweave.settings import CATEGORICAL, FEATURES
+from creditweave.plans.registry import DRAFTS, FIXED_TREES, LOADED_UNTIL, TOP_DECLINES
+from creditweave.settings import CATEGORICAL, FEATURES, NUMERIC_FEATURES
 from creditweave.sources import schemas
 from creditweave.sources.tables import LABELS
 
@@ -554,6 +554,158 @@ STEPS = {
     "faulty": FAULTY,
 }
 
+# -- the booster ---------------------------------------------------------------
+
+VALUES_BY_FEATURE = "select application_id, is_default, unnest([{}], recursive := true) from applicant_features".format(
+    ", ".join(f"{{'feature': {text(f)}, 'x': cast({f} as double)}}" for f in NUMERIC_FEATURES)
+)
+
+# Values by sketch cell, cells by bin.
+CELLS = f"""
+    with v as ({VALUES_BY_FEATURE}),
+    g as (select *, case when abs(x) >= 1e-300 then floor(log2(abs(x))) end as guess from v),
+    p as (
+        select *, guess + case when pow(2.0, guess) > abs(x) then -1 when pow(2.0, guess + 1) <= abs(x) then 1 else 0 end as power
+        from g)
+    select feature, case when abs(x) < 1e-300 then 0.0 else floor(x / pow(2.0, power - 7)) * pow(2.0, power - 7) end as low,
+        count(*) as n, sum(is_default) as hits
+    from p group by all
+"""
+BINNED_CELLS = f"""
+    with placed as (
+        select *, sum(n) over (partition by feature order by low) - n as before, sum(n) over (partition by feature) as total
+        from ({CELLS}) where low is not null),
+    quantiles as (select *, floor(cast(before * 63 as double) / total) as quantile from placed)
+    select feature, low, n, hits, cast(dense_rank() over (partition by feature order by quantile) as integer) as bin from quantiles
+    union all
+    select feature, low, n, hits, 0 from ({CELLS}) where low is null
+"""
+CATEGORY_BINS = f"""
+    select {text(CATEGORICAL)} as feature, {CATEGORICAL} as category, n, hits,
+        cast(case when {CATEGORICAL} is null then 0 else row_number() over (order by {CATEGORICAL} is null, n desc, {CATEGORICAL}) end as integer) as bin
+    from (select {CATEGORICAL}, count(*) as n, sum(is_default) as hits from applicant_features group by 1)
+"""
+FEATURE_BINS = f"""
+    select feature, bin, min(low) as low_edge, cast(null as varchar) as category, cast(sum(n) as bigint) as n_rows
+    from ({BINNED_CELLS}) group by feature, bin
+    union all
+    select feature, bin, null, category, n from ({CATEGORY_BINS})
+"""
+
+# Gradients are whole numbers of 2**-20, as in the fit.
+FIRST_SPLIT = f"""
+    with base as (
+        select 1 / (1 + exp(-ln(sum(is_default) / cast(count(*) - sum(is_default) as double)))) as p from applicant_features),
+    unit as (
+        select round_even((p - 1) * 1048576, 0) as g1, round_even(p * 1048576, 0) as g0,
+            greatest(round_even(p * (1 - p) * 1048576, 0), 1) as h1
+        from base),
+    bins as (
+        select feature, bin, min(low) as edge, null as category, sum(n) as n, sum(hits) as hits from ({BINNED_CELLS}) group by feature, bin
+        union all
+        select feature, bin, null, category, n, hits from ({CATEGORY_BINS})),
+    sums as (
+        select feature, bin, edge, category, n, hits * g1 + (n - hits) * g0 as g, n * h1 as h,
+            case when feature = {text(CATEGORICAL)} then (hits * g1 + (n - hits) * g0) / (n * h1 + 10.0 * 1048576) else bin end as place
+        from bins, unit),
+    missing as (select feature, n, g, h from sums where bin = 0 and feature <> {text(CATEGORICAL)}),
+    totals as (select feature, sum(n) as n, sum(g) as g, sum(h) as h from sums group by feature),
+    upto as (
+        select feature, bin, sum(n) over w as n, sum(g) over w as g, sum(h) over w as h,
+            lead(edge) over (partition by feature order by place, bin) as threshold,
+            array_agg(category) over w as listed
+        from sums where bin > 0 or feature = {text(CATEGORICAL)}
+        window w as (partition by feature order by place, bin rows unbounded preceding)),
+    sides as (
+        select feature, bin, n, g, h, threshold, listed, 0 as side from upto
+        union all
+        select u.feature, bin, u.n + m.n, u.g + m.g, u.h + m.h, threshold, listed, 1 from upto u join missing m using (feature)),
+    tried as (
+        select s.*, t.n - s.n as rest, s.g / 1048576 as gl, s.h / 1048576 as hl, (t.g - s.g) / 1048576 as gr, (t.h - s.h) / 1048576 as hr,
+            t.g / 1048576 as gt, t.h / 1048576 as ht
+        from sides s join totals t using (feature) where least(s.n, t.n - s.n) >= 20 and least(s.h, t.h - s.h) >= 1e-3 * 1048576),
+    rated as (
+        select *, gl * gl / hl + gr * gr / hr - gt * gt / ht as gain, row_number() over (
+            partition by feature order by gl * gl / hl + gr * gr / hr - gt * gt / ht desc, side, len(listed)) as place
+        from tried)
+    select feature, {rounded("gain")} as gain,
+        case when feature <> {text(CATEGORICAL)} then coalesce(threshold, cast('inf' as double)) end as threshold,
+        case when feature = {text(CATEGORICAL)} then array_to_string(list_sort(list_filter(listed, lambda c: c is not null)), ',') end as categories,
+        case when feature = {text(CATEGORICAL)} then list_contains(list_transform(listed, lambda c: c is null), true)
+            else side = 1 or (not exists (select 1 from missing m where m.feature = rated.feature) and n > rest) end as missing_left,
+        cast(n as bigint) as rows_left, cast(rest as bigint) as rows_right
+    from rated where place = 1 and gain > 1e-9
+"""
+
+
+def _node_test(node: tuple, left: bool) -> str:
+    """Whether a row goes to this side of a node of ``FIXED_TREES``."""
+    _, _, feature, threshold, categories, missing_left, *_ = node
+    inside = f"{feature} < {double(threshold)}" if categories is None else f"{feature} in ({', '.join(map(text, categories))})"
+    test = f"coalesce({inside}, {str(missing_left).lower()})"
+    return test if left else f"not {test}"
+
+
+def _fixed_leaves() -> list[tuple[float, dict[str, tuple[str, float]]]]:
+    """Value of each leaf, and per feature of its path the test of a row and the share of covered rows."""
+    nodes, found = {(n[0], n[1]): n for n in FIXED_TREES}, []
+
+    def walk(tree: int, number: int, path: dict[str, tuple[str, float]]) -> None:
+        node = nodes[tree, number]
+        if node[2] is None:
+            found.append((node[8], path))
+            return
+        for child, left in ((node[6], True), (node[7], False)):
+            test, share = path.get(node[2], ("true", 1.0))
+            own = f"({test}) and {_node_test(node, left)}", share * (nodes[tree, child][9] / node[9])
+            walk(tree, child, {**path, node[2]: own})
+
+    for tree in sorted({t for t, _ in nodes}):
+        walk(tree, 0, {})
+    return found
+
+
+LEAVES = _fixed_leaves()
+MET = "select application_id, unnest([{}], recursive := true) from applicant_features".format(
+    ", ".join(
+        f"{{'leaf': {i}, 'value': {double(value)}, 'size': {len(path)}, 'k': {k}, 'feature': {text(f)},"
+        f" 'met': cast({test} as double), 'share': {double(share)}}}"
+        for i, (value, path) in enumerate(LEAVES)
+        for k, (f, (test, share)) in enumerate(path.items())
+    )
+)
+TREE_MARGINS = "select application_id, {} as margin from applicant_features".format(
+    " + ".join(
+        f"case when {' and '.join(test for test, _ in path.values()) or 'true'} then {double(value)} else 0 end" for value, path in LEAVES
+    )
+)
+TREE_SCORES = f"select application_id, {rounded('1 / (1 + exp(-margin))')} as predicted_pd from ({TREE_MARGINS})"
+
+# Shapley values by their definition: every subset of a leaf's other features.
+TREE_DRIVERS = f"""
+    with met as materialized ({MET}),
+    subsets as (
+        select a.application_id, a.leaf, a.feature, a.k, any_value(a.value * (a.met - a.share)) as change, any_value(a.size) as size, mask,
+            bit_count(mask) as known, coalesce(product(case when (mask >> b.k) & 1 = 1 then b.met else b.share end) filter (where b.k <> a.k), 1.0) as chance
+        from (select *, unnest(range(0, (1 << size))) as mask from met) a join met b using (application_id, leaf)
+        where (mask >> a.k) & 1 = 0
+        group by a.application_id, a.leaf, a.feature, a.k, mask),
+    given as (
+        select application_id, feature, sum(change * chance * factorial(known::integer) * factorial((size - known - 1)::integer) / factorial(size)) as shap
+        from subsets group by application_id, feature),
+    features as (select unnest({FEATURES!r}) as feature, generate_subscripts({FEATURES!r}, 1) as place),
+    every as (
+        select application_id, f.feature, place, coalesce(shap, 0.0) as shap
+        from (select application_id from applicant_features) cross join features f left join given using (application_id, feature)),
+    ranked as (
+        select *, row_number() over (partition by application_id order by round(shap, 12) desc, place) as rank from every)
+    select application_id, s.predicted_pd,
+        {", ".join(f"max(feature) filter (where rank = {i}) as top{i}_feature, {rounded(f'max(shap) filter (where rank = {i})')} + 0 as top{i}_shap" for i in (1, 2, 3))}
+    from ranked join ({TREE_SCORES}) s using (application_id) where rank <= 3
+    group by application_id, s.predicted_pd
+"""
+
+
 FINAL = {
     **{
         name: f"select * from {name}"
@@ -587,12 +739,16 @@ FINAL = {
         select 'applications is_default accepted' as gate, count(*) as offending_rows
         from stage_applications where application_id % 89 = 0 having count(*) > 0
     """,
+    "boosted_scores": TREE_SCORES,
+    "boosted_top_drivers": TREE_DRIVERS,
+    "boosted_first_split": FIRST_SPLIT,
+    "feature_bins": FEATURE_BINS,
     "boosted_facts": """
-        select application_id, true as score_in_range, cast(13 as integer) as n_contributions, true as adds_up
+        select application_id, true as score_in_range, cast(13 as integer) as n_contributions, true as adds_up, true as has_learnt
         from applicant_features
     """,
     "boosted_calibration": f"""
-        select application_id, fold, true as is_probability, true as is_auc, true as brier_kept
+        select application_id, fold, true as is_probability, true as rises, true as brier_kept
         from ({HASH_SPLIT}) where fold = 'evaluation'
     """,
     "payment_watermark_batch": "select * from batch",

@@ -9,19 +9,21 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from creditweave.functions.numbers import round_to
 from creditweave.operators import (
-    attribution,
     audit,
-    boosting,
     calibration,
     checks,
+    feature_bins as bins,
     grounding,
+    histogram_boosting,
     marts,
     metrics,
+    ordering,
     reasons,
     scorecard,
     split,
     staging,
     summaries,
+    tree_table,
 )
 from creditweave.plans import build, training
 from creditweave.plans.training import long_metrics
@@ -34,11 +36,40 @@ from creditweave.streaming.payment_feed import load_payments
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Day the first payment load ends with, the riskiest declines to report, and
-# the boosted model of the queries.
+# Day the first payment load ends with, and the riskiest declines to report.
 LOADED_UNTIL = -1200
 TOP_DECLINES = 500
-QUERY_TREES = boosting.BoostingParams()
+# AUC on fitted rows that a score without any learning does not reach.
+LEARNT_AUC = 0.55
+
+# A small tree table, columns as in ``tree_table.SCHEMA``: numbers, categories,
+# missing values on both sides, and a feature that is asked twice on a path.
+FIXED_TREES = [
+    (0, 0, None, None, None, None, None, None, -1.1, 1.0),
+    (1, 0, "income_total", 4000.0, None, False, 1, 2, None, 1000.0),
+    (1, 1, "employment_years", 8.0, None, True, 3, 4, None, 430.0),
+    (1, 2, "contract_type", None, ["1-URGENT", "2-HIGH"], False, 5, 6, None, 570.0),
+    (1, 3, None, None, None, None, None, None, 0.41, 190.0),
+    (1, 4, None, None, None, None, None, None, 0.07, 240.0),
+    (1, 5, None, None, None, None, None, None, 0.13, 230.0),
+    (1, 6, "income_total", 7000.0, None, False, 7, 8, None, 340.0),
+    (1, 7, None, None, None, None, None, None, -0.11, 150.0),
+    (1, 8, None, None, None, None, None, None, -0.37, 190.0),
+    (2, 0, "max_days_overdue", 30.0, None, True, 1, 2, None, 900.0),
+    (2, 1, None, None, None, None, None, None, -0.17, 520.0),
+    (2, 2, "credit_to_income_ratio", 60.0, None, False, 3, 4, None, 380.0),
+    (2, 3, None, None, None, None, None, None, 0.09, 210.0),
+    (2, 4, "employment_years", 20.0, None, False, 5, 6, None, 170.0),
+    (2, 5, None, None, None, None, None, None, 0.53, 80.0),
+    (2, 6, None, None, None, None, None, None, 0.19, 90.0),
+    (3, 0, "contract_type", None, ["5-LOW"], True, 1, 2, None, 1000.0),
+    (3, 1, "age_years", 35.0, None, False, 3, 4, None, 190.0),
+    (3, 2, "contract_type", None, ["1-URGENT", "3-MEDIUM"], False, 5, 6, None, 810.0),
+    (3, 3, None, None, None, None, None, None, 0.23, 70.0),
+    (3, 4, None, None, None, None, None, None, -0.29, 120.0),
+    (3, 5, None, None, None, None, None, None, 0.31, 390.0),
+    (3, 6, None, None, None, None, None, None, -0.05, 420.0),
+]
 
 
 # -- tables the queries start from ----------------------------------------
@@ -276,26 +307,55 @@ def metric_log(spark, d):
     return spark.read.parquet(path)
 
 
-def _boosted(spark, d):
-    mart = cut_lineage(applicant_features(spark, d))
-    folds = split.select_share(mart, 0.2, "holdout-42", "held")
-    return mart, *boosting.fit_boosted(folds.where("not held").drop("held"), QUERY_TREES)
+def _fixed_trees(spark):
+    """The fixed table as read back from its file."""
+    path = scratch_path(spark, "trees")
+    spark.createDataFrame(FIXED_TREES, tree_table.SCHEMA).write.parquet(path)
+    return spark.read.schema(tree_table.SCHEMA).parquet(path)
 
 
 def boosted_scores(spark, d):
-    return scorecard.published(boosting.boosted_scores(*_boosted(spark, d)))
+    """Scores by a stored table of trees."""
+    return scorecard.published(tree_table.tree_scores(applicant_features(spark, d), _fixed_trees(spark)))
 
 
 def boosted_top_drivers(spark, d):
-    return scorecard.published(scorecard.top_drivers(attribution.boosted_contributions(*_boosted(spark, d))))
+    """What leads to the scores of a stored table of trees."""
+    explained = tree_table.tree_contributions(applicant_features(spark, d), _fixed_trees(spark))
+    return scorecard.published(scorecard.top_drivers(explained))
+
+
+def feature_bins(spark, d):
+    return bins.feature_bins(cut_lineage(applicant_features(spark, d)))
+
+
+def boosted_first_split(spark, d):
+    """The best split of every feature at the first root, over all applicants: gain, place and rows on both sides."""
+    mart = cut_lineage(applicant_features(spark, d))
+    edges = bins.Bins.of(mart)
+    rows = []
+    for feature, found in histogram_boosting.first_split(mart, edges):
+        if found is not None:
+            threshold, listed, missing_left = tree_table.rule(edges, feature, found.mask)
+            rows.append((feature, round(found.gain * 1e6) / 1e6, threshold, listed and ",".join(listed), missing_left, found.rows_left, found.rows_right))
+    kinds = "feature string, gain double, threshold double, categories string, missing_left boolean, rows_left bigint, rows_right bigint"
+    return spark.createDataFrame(rows, kinds)
 
 
 def boosted_facts(spark, d):
     """What must hold of every row, whatever the trees are: a score between 0
-    and 1, and contributions that add up with the base value to its log-odds."""
-    mart, encoder, model = _boosted(spark, d)
-    base = attribution.base_value(attribution.model_leaves(spark, model))
-    rows = attribution.boosted_contributions(mart, encoder, model)
+    and 1, and contributions that add up with the base value to its log-odds;
+    and what a constant or an unlearnt score would not fulfil: on the rows it
+    was fitted to, the model ranks hits above misses. (The given targets do not
+    depend on the features, so there is nothing to learn for other rows.)"""
+    mart = cut_lineage(applicant_features(spark, d))
+    folds = cut_lineage(split.select_share(mart, 0.2, "holdout-42", "held"))
+    model = histogram_boosting.fit_boosted(folds.where("not held").drop("held"))
+    table = tree_table.model_table(spark, model)
+    base = tree_table.TreeTable.of(table).base_value()
+    rows = cut_lineage(tree_table.tree_contributions(mart, table))
+    seen = folds.where("not held").select(ID, TARGET).join(rows.select(ID, "predicted_pd"), ID)
+    fitted = metrics.auc(metrics.score_counts(seen, "predicted_pd", TARGET)).scalar()
     pd_ = F.col("predicted_pd")
     total = F.aggregate("contributions", F.lit(base), lambda a, c: a + c)
     return rows.select(
@@ -303,21 +363,25 @@ def boosted_facts(spark, d):
         ((pd_ > 0) & (pd_ < 1)).alias("score_in_range"),
         F.size("contributions").alias("n_contributions"),
         (F.abs(total - F.ln(pd_ / (1 - pd_))) < 1e-6).alias("adds_up"),
+        (fitted > LEARNT_AUC).alias("has_learnt"),
     )
 
 
 def boosted_calibration(spark, d):
     """The training flow on the boosted model: per row of the evaluation fold,
-    whether its calibrated score is a probability; in all, whether the AUC is
-    one and calibration does not worsen the Brier score by much."""
-    trained = training.train(applicant_features(spark, d), params=QUERY_TREES)
+    whether its calibrated score is a probability; in all, whether calibrated
+    scores rise with raw ones and calibration does not worsen the Brier score by much."""
+    trained = training.train(applicant_features(spark, d))
     measured = trained.evaluated.where("fold = 'evaluation'")
-    auc = metrics.auc(metrics.score_counts(measured, "predicted_pd", TARGET)).scalar()
+    by_score = cut_lineage(measured.groupBy("predicted_pd").agg(F.min("calibrated_pd").alias("low"), F.max("calibrated_pd").alias("high")))
+    ranked = ordering.numbered(by_score, ["predicted_pd"], "place")
+    later = ranked.select((F.col("place") - 1).alias("place"), F.col("low").alias("next"))
+    falls = ranked.join(later, "place").agg(F.count_if(F.col("high") > F.col("next")).alias("n")).scalar()
     both = metrics.brier(measured, TARGET, {"raw": "predicted_pd", "calibrated": "calibrated_pd"})
     kept = both.select(F.col("calibrated") <= F.col("raw") * 1.1).scalar()
     return measured.select(
         ID, "fold", F.col("calibrated_pd").between(0, 1).alias("is_probability"),
-        auc.between(0, 1).alias("is_auc"), kept.alias("brier_kept"),
+        (falls == 0).alias("rises"), kept.alias("brier_kept"),
     )
 
 
@@ -592,6 +656,8 @@ QUERIES: dict[str, Query] = {
         boosted_top_drivers,
         boosted_facts,
         boosted_calibration,
+        boosted_first_split,
+        feature_bins,
         label_csv,
         sql_view,
         column_comments,

@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from dataclasses import asdict, dataclass
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.sql import DataFrame, functions as F
 
-from creditweave.operators import attribution, boosting, calibration, metrics
+from creditweave.operators import calibration, histogram_boosting, metrics, tree_table
 from creditweave.operators.scorecard import top_drivers
 from creditweave.operators.split import holdout_split
 from creditweave.session import cut_lineage
@@ -18,23 +16,24 @@ from creditweave.settings import CATEGORICAL, ID, TARGET, Policy
 
 @dataclass
 class Trained:
-    encoder: PipelineModel
-    booster: GBTClassificationModel
+    model: histogram_boosting.Model
+    trees: DataFrame
     calibrator: IsotonicRegressionModel
     folds: DataFrame
     evaluated: DataFrame
-    params: boosting.BoostingParams
+    params: histogram_boosting.Params
 
 
-def train(mart: DataFrame, policy: Policy = Policy(), params: boosting.BoostingParams = boosting.BoostingParams()) -> Trained:
+def train(mart: DataFrame, policy: Policy = Policy(), params: histogram_boosting.Params = histogram_boosting.Params()) -> Trained:
     """Fit the booster on train rows and the calibrator on half the holdout."""
     folds = cut_lineage(holdout_split(mart, policy.test_share, policy.seed))
-    encoder, booster = boosting.fit_boosted(folds.where("fold = 'train'").drop("fold"), params)
+    model = histogram_boosting.fit_boosted(folds.where("fold = 'train'").drop("fold"), params)
+    trees = cut_lineage(tree_table.model_table(mart.sparkSession, model))
     holdout = folds.where("fold <> 'train'")
-    scores = boosting.boosted_scores(holdout, encoder, booster)
+    scores = tree_table.tree_scores(holdout, trees)
     scored = cut_lineage(holdout.join(scores, ID))
     calibrator = calibration.fit_calibrator(scored.where("fold = 'calibration'"))
-    return Trained(encoder, booster, calibrator, folds, calibration.calibrate(scored, calibrator), params)
+    return Trained(model, trees, calibrator, folds, calibration.calibrate(scored, calibrator), params)
 
 
 def evaluation(trained: Trained, run_id: str) -> DataFrame:
@@ -48,8 +47,8 @@ def evaluation(trained: Trained, run_id: str) -> DataFrame:
     calibrated = metrics.score_counts(measured, "calibrated_pd", TARGET)
     brier = metrics.brier(measured, TARGET, {"brier_raw": "predicted_pd", "brier_calibrated": "calibrated_pd"})
     spark = trained.folds.sparkSession
-    best = spark.createDataFrame([(float(trained.booster.getNumTrees),)], "best_iteration double")
-    knobs = {k: float(v) for k, v in asdict(trained.params).items()}
+    best = spark.createDataFrame([(float(len(trained.model.trees)),)], "best_iteration double")
+    knobs = {k: float(v) for k, v in asdict(trained.params).items() if v is not None}
     params = spark.createDataFrame([tuple(knobs.values())], ", ".join(f"{k} double" for k in knobs))
     return (
         long_metrics(metrics.auc(holdout), run_id, "training")
@@ -81,4 +80,4 @@ def fairness_slices(trained: Trained) -> DataFrame:
 
 def predictions(mart: DataFrame, trained: Trained) -> DataFrame:
     """The prediction table: score and three main drivers of every applicant."""
-    return top_drivers(attribution.boosted_contributions(mart, trained.encoder, trained.booster))
+    return top_drivers(tree_table.tree_contributions(mart, trained.trees))

@@ -8,7 +8,7 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-from creditweave.operators import boosting, ordering
+from creditweave.operators import histogram_boosting, ordering
 from creditweave.operators.checks import CheckFailed
 from creditweave.plans import build, registry, training
 from creditweave.settings import ID, Policy
@@ -81,7 +81,7 @@ def test_ungrounded_writer_publishes_nothing(spark, built, folder):
 
 def test_training_flow(spark, built, folder):
     mart = built[1]["applications"].read()
-    trained = training.train(mart, params=boosting.BoostingParams(max_trees=3, depth=3))
+    trained = training.train(mart, params=histogram_boosting.Params(max_trees=3, depth=3))
     log = training.evaluation(trained, "run-a")
     tables.append_metrics(log, f"{folder}/log")
     tables.append_metrics(training.evaluation(trained, "run-b"), f"{folder}/log")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from creditweave.functions.numbers import exact_sum, safe_divide
 from creditweave.functions.text import driver_list
-from creditweave.operators.ordering import numbered
+from creditweave.operators.ordering import numbered, top_numbered
 from creditweave.settings import ID, Policy
 
 # Rollup columns; zero for applicants without history.
@@ -60,15 +60,19 @@ def scored_applicants(applications: DataFrame, predictions: DataFrame) -> DataFr
 def declined_drivers(scored: DataFrame, labels: DataFrame, policy: Policy = Policy()) -> DataFrame:
     """Declined applicants, ranked by risk, with labelled drivers.
 
-    Declined rows are numbered by ranges of risk, never in one task; a sample
-    size then keeps the first numbers.
+    Declined rows are numbered by ranges of risk, never in one task; of a
+    sample size, the riskiest are selected by counting before any row is
+    shuffled.
     """
     drivers = [f"top{i}_{part}" for i in (1, 2, 3) for part in ("feature", "shap")]
     declined = scored.where(F.col("predicted_pd") >= policy.decline_threshold).select(
         ID, "predicted_pd", *drivers
     )
-    falling = declined.withColumn("_safety", -F.col("predicted_pd"))
-    ranked = numbered(falling, ["_safety", ID], "decline_rank", limit=policy.decline_sample_size).drop("_safety")
+    if policy.decline_sample_size is None:
+        falling = declined.withColumn("_safety", -F.col("predicted_pd"))
+        ranked = numbered(falling, ["_safety", ID], "decline_rank").drop("_safety")
+    else:
+        ranked = top_numbered(declined, ["predicted_pd", ID], "decline_rank", policy.decline_sample_size)
     for i in (1, 2, 3):
         names = labels.select(
             F.col("feature_name").alias(f"top{i}_feature"), F.col("feature_label").alias(f"top{i}_label")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import asdict, dataclass
 
-from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.sql import DataFrame, functions as F
 
 from creditweave.operators import calibration, histogram_boosting, metrics, tree_table
@@ -18,7 +17,7 @@ from creditweave.settings import CATEGORICAL, ID, TARGET, Policy
 class Trained:
     model: histogram_boosting.Model
     trees: DataFrame
-    calibrator: IsotonicRegressionModel
+    calibrator: DataFrame
     folds: DataFrame
     evaluated: DataFrame
     params: histogram_boosting.Params

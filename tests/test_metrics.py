@@ -1,10 +1,13 @@
 """Ordered metrics against brute force, on rows with ties and hot scores."""
 
+import math
+
 import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from creditweave.operators import calibration, metrics, ordering
+from creditweave.session import cut_lineage
 from pyspark.sql import functions as F
 
 SCORED = "application_id bigint, predicted_pd double, is_default int, contract_type string"
@@ -144,3 +147,74 @@ def test_numbering_survives_a_hot_score(spark):
     want = sorted(((r["pd"], r["id"]) for r in got), key=lambda t: (-t[0], t[1]))
     assert [(r["pd"], r["id"]) for r in sorted(got, key=lambda r: r["place"])] == want
     assert sorted(r["place"] for r in got) == list(range(1, 3001))
+
+
+def test_isotonic_fit_of_a_million_scores(spark, monkeypatch):
+    """Many ranges, merged in a tree; equal to pooling in one pass."""
+    n = 1_000_000
+    x = (F.xxhash64("id") % 10_000_019 + 10_000_019) / F.lit(20_000_038.0)
+    df = spark.range(n).select(x.alias("predicted_pd"), (F.rand(3) < x * x).cast("int").alias("is_default"))
+    df = cut_lineage(df.dropDuplicates(["predicted_pd"]))
+    monkeypatch.setattr(ordering, "RANGE_ROWS", 20_000)
+    model = calibration.fit_calibrator(df)
+    found = sorted(tuple(r) for r in model.collect())
+    frame_ = df.toPandas().sort_values("predicted_pd")
+    scores, labels = frame_["predicted_pd"].to_numpy(), frame_["is_default"].to_numpy()
+    assert len(scores) > 900_000
+    want = pooled_blocks(scores, labels)
+    assert [(r[0], r[1], r[2]) for r in found] == want
+    assert [r[3] for r in found] == [w[0] for w in want[1:]] + [None]
+
+
+def pooled_blocks(scores, labels):
+    """Blocks by pooling neighbours in one pass, in whole numbers."""
+    blocks = []
+    for s, y in zip(scores.tolist(), labels.tolist()):
+        blocks.append([s, s, y, 1])
+        while len(blocks) > 1 and blocks[-2][2] * blocks[-1][3] >= blocks[-1][2] * blocks[-2][3]:
+            _, high, hits, rows = blocks.pop()
+            blocks[-1] = [blocks[-1][0], high, blocks[-1][2] + hits, blocks[-1][3] + rows]
+    return [(low, high, hits / rows) for low, high, hits, rows in blocks]
+
+
+def test_calibration_of_odd_scores_and_of_nothing(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "RANGE_ROWS", 3)
+    df = spark.createDataFrame([(0.1, 0), (0.2, 1), (0.3, 0), (0.6, 1), (float("nan"), 1), (None, 1), (0.9, None)], "predicted_pd double, is_default int")
+    model = calibration.fit_calibrator(df)
+    assert sorted(tuple(r)[:3] for r in model.collect()) == [(0.1, 0.1, 0.0), (0.2, 0.3, 0.5), (0.6, 0.6, 1.0)]
+    asked = spark.createDataFrame([(v,) for v in (0.0, 0.1, 0.15, 0.25, 0.25, 0.45, 7.0, float("nan"), None)], "predicted_pd double")
+    got = calibration.calibrate(asked, model).orderBy("predicted_pd").collect()
+    assert [r[1] for r in got] == [None, 0.0, 0.0, pytest.approx(0.25), 0.5, 0.5, pytest.approx(0.75), 1.0, None]
+    none = calibration.fit_calibrator(df.where("false"))
+    assert none.collect() == [] and {r[1] for r in calibration.calibrate(asked, none).collect()} == {None}
+
+
+def test_values_are_carried_over_ranges(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "RANGE_ROWS", 40)
+    marks = {3, 170, 171, 900}
+    df = spark.range(1000).select("id", F.when(F.col("id").isin(*marks), F.col("id")).alias("mark")).repartition(5)
+    got = {r.id: r.mark for r in ordering.carried(df, ["id"], "mark").collect()}
+    assert got == {i: max((m for m in marks if m <= i), default=None) for i in range(1000)}
+
+
+@pytest.mark.parametrize("kind", ["uniform", "steep", "ties", "odd"])
+def test_top_rows_are_selected_by_counting(spark, monkeypatch, kind):
+    rng = np.random.default_rng(8)
+    values = {
+        "uniform": rng.random(4000),
+        "steep": np.exp(rng.normal(0, 40, 4000)) * rng.choice([-1, 1], 4000),
+        "ties": rng.integers(0, 3, 4000).astype(float),
+        "odd": np.concatenate((rng.random(3990), [math.nan, math.nan, math.inf, -math.inf, 0.0, -0.0, 1e308, -1e308, 5e-324, 2.0])),
+    }[kind]
+    data = [(i, float(v)) for i, v in enumerate(values)] + [(4000, None)]
+    df = cut_lineage(spark.createDataFrame(data, "id long, pd double"))
+    monkeypatch.setattr(ordering, "RANGE_ROWS", 300)
+    monkeypatch.setattr(ordering, "CELLS", 64)
+    place = lambda v: (2, 0) if v is not None and v != v else (1, v) if v is not None else (0, 0)
+    want = sorted(data, key=lambda r: (*(-k for k in place(r[1])), r[0]))
+    for limit in (1, 900, 5000):
+        got = ordering.top_numbered(df, ["pd", "id"], "n", limit).orderBy("n").collect()
+        assert [(r.n, r.id) for r in got] == [(i + 1, r[0]) for i, r in enumerate(want[:limit])]
+        bound = ordering.last_selected(df, "pd", limit)
+        if kind != "ties" and bound is not None and limit <= 900:
+            assert df.where(F.isnan("pd") | (F.col("pd") >= bound)).count() <= limit + max(300, limit // 8) + 4

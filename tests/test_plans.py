@@ -147,6 +147,16 @@ def test_rank_is_numbered_by_ranges(spark):
     assert "TakeOrdered" not in plan and "SinglePartition" not in plan.split("\n\n(1)")[0]
 
 
+def test_rows_below_the_top_are_not_shuffled(spark, monkeypatch):
+    """The bound of a top-N stands below the exchange, at the scan."""
+    monkeypatch.setattr(ordering, "RANGE_ROWS", 100)
+    df = spark.range(20_000).select("id", (F.xxhash64("id") % 1000 / 7.0).alias("risk"))
+    monkeypatch.setattr(ordering, "numbered", lambda rows, order, name, limit: rows)
+    rivals = ordering.top_numbered(df, ["risk", "id"], "n", 500)
+    assert 500 <= rivals.count() < 700
+    assert "GreaterThanOrEqual(risk," in plan_of(rivals) and "Exchange" not in plan_of(rivals)
+
+
 def test_running_totals_shuffle_rows_once(spark, monkeypatch):
     """One exchange of the rows, one of a row per range and task, one of a row per range."""
     monkeypatch.setattr(ordering, "RANGE_ROWS", 100)

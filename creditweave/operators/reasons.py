@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from creditweave.functions.text import reason_prompt, template_reason
+from creditweave.session import cut_lineage
+
 
 def _labels() -> list[Column]:
     return [F.col(f"top{i}_label") for i in (1, 2, 3)]
@@ -24,8 +26,9 @@ def with_reason(
     """One reason per declined applicant.
 
     By default a fixed sentence, built by Spark expressions. ``write`` may be
-    any batch function from prompts to texts; it runs in the tasks, a batch of
-    rows at a time, after the decline cap has bounded the rows.
+    any batch function from prompts to texts. It runs in the tasks and sees
+    each distinct prompt once: applicants with the same drivers in the same
+    order, of which there are 1,716 at most, share its text.
     """
     keep = [F.col(c) for c in drivers.columns if not c.endswith("_shap")]
     if write is None:
@@ -34,8 +37,9 @@ def with_reason(
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            frame["adverse_action_reason"] = write(frame["prompt"])
-            yield frame.drop(columns="prompt")
+            yield frame.assign(adverse_action_reason=write(frame["prompt"]))
 
-    schema = drivers.select(*keep).schema.add("adverse_action_reason", "string")
-    return prompted.mapInPandas(batches, schema)
+    asked = prompted.select("prompt").where("prompt is not null").distinct()
+    # Written once: a second read must not ask the writer again.
+    written = cut_lineage(asked.mapInPandas(batches, "prompt string, adverse_action_reason string"))
+    return prompted.join(written, "prompt", "left").drop("prompt")

@@ -44,7 +44,8 @@ def stage_credits(raw: DataFrame) -> DataFrame:
     )
 
 
-def stage_payments(raw: DataFrame) -> DataFrame:
+def stage_payments(raw: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Conformed payments, with the columns named in ``carry`` as they are."""
     due, entry = F.col("days_instalment").cast("int"), F.col("days_entry_payment").cast("int")
     owed, paid = F.col("amt_instalment").cast("double"), F.col("amt_payment").cast("double")
     return raw.select(
@@ -66,6 +67,7 @@ def stage_payments(raw: DataFrame) -> DataFrame:
         paid.alias("payment_amount"),
         (owed - paid).alias("payment_shortfall"),
         (entry - due).alias("days_late"),
+        *carry,
     )
 
 

@@ -724,6 +724,21 @@ FINAL = {
     "decline_reasons": shown("select * from decline_reasons", PD),
     "payments_at_moment": "select * from first_load",
     "payment_feed": "select * from stage_payments",
+    "payment_feed_corrections": """
+        with amended as (
+            select * replace (
+                cast(installment_due_day + case when prior_credit_id % 5 = 0 then 400 else 0 end as integer) as installment_due_day,
+                installment_amount + case when prior_credit_id % 5 = 0 then cast(2 as double)
+                    when prior_credit_id % 3 = 0 then cast(1 as double) else cast(0 as double) end as installment_amount)
+            from stage_payments)
+        select * replace (
+            installment_amount - payment_amount as payment_shortfall, payment_entry_day - installment_due_day as days_late),
+            true as same_file_by_file
+        from amended
+    """,
+    "batched_reasons": f"""
+        select application_id, decline_rank, length(prompt) || ' characters asked: ' || prompt as adverse_action_reason from ({PROMPTS})
+    """,
     "label_csv": """
         select feature_name, feature_label, coalesce(n, 0) as n_leading
         from feature_labels left join (

@@ -160,6 +160,16 @@ def reason_prompts(spark, d):
     return reasons.with_prompt(_declined(spark, d)).select(ID, "decline_rank", "prompt")
 
 
+def plain_writer(prompts):
+    """A batch writer without a model: it repeats what it was asked."""
+    return prompts.str.len().astype(str) + " characters asked: " + prompts
+
+
+def batched_reasons(spark, d):
+    """Reasons by a batch function, which sees each distinct prompt once."""
+    return reasons.with_reason(_declined(spark, d), plain_writer).select(ID, "decline_rank", "adverse_action_reason")
+
+
 def reasons_with_slips(spark, d):
     """Reasons of which a fifth cites the age label, owed or not, and another
     fifth holds that label only as part of a longer word."""
@@ -230,12 +240,11 @@ def payment_rerun(spark, d):
     table = payment_table(spark, d)
     table.upsert(corrected(stage_payments(spark, d)))
     before, after = table.read(version=2), table.read()
-    changed = before.exceptAll(after).unionAll(after.exceptAll(before))
     n = F.count(F.lit(1))
     return (
         before.agg(n.alias("rows_before"))
         .withColumn("rows_after", after.agg(n).scalar())
-        .withColumn("rows_changed", changed.agg(n).scalar())
+        .withColumn("rows_changed", F.lit(checks.changed_rows(before, after)).cast("bigint"))
     )
 
 
@@ -257,6 +266,30 @@ def payment_feed(spark, d):
     return table.read()
 
 
+def deliveries(spark, d):
+    """Raw payments, then corrected ones: other amounts for a third of the credits,
+    then other amounts and later due days for some, of which the former had some too."""
+    raw = fixtures.installments_payments(spark, d)
+    credit, owed, day = F.col("sk_id_prev"), F.col("amt_instalment"), F.col("days_instalment")
+    second = raw.where(credit % 3 == 0).withColumn("amt_instalment", owed + 1.0)
+    third = raw.where(credit % 5 == 0).withColumns({"amt_instalment": owed + 2.0, "days_instalment": day + 400})
+    return [raw, second, third]
+
+
+def payment_feed_corrections(spark, d):
+    """Deliveries with corrections, loaded by one trigger; and whether a trigger for each file gives the same rows."""
+    landing = scratch_path(spark, "landing")
+    for rows in deliveries(spark, d):
+        rows.repartition(2).write.mode("append").parquet(landing)  # two files each
+    loaded = []
+    for files in (1000, 1):
+        table = VersionedTable(spark, scratch_path(spark, "payments"), "payments", "payment_id", "installment_due_day", (ID,))
+        load_payments(spark, landing, table, scratch_path(spark, "progress"), files).awaitTermination()
+        loaded.append(table.read())
+    same = checks.content(loaded[0]) == checks.content(loaded[1])
+    return loaded[0].withColumn("same_file_by_file", F.lit(same))
+
+
 # -- scores ------------------------------------------------------------------
 
 
@@ -621,6 +654,7 @@ QUERIES: dict[str, Query] = {
         payment_rerun,
         payments_at_moment,
         payment_feed,
+        payment_feed_corrections,
         linear_scores,
         linear_top_drivers,
         prediction_table,
@@ -629,6 +663,7 @@ QUERIES: dict[str, Query] = {
         declined_drivers_uncapped,
         decline_reasons,
         reason_prompts,
+        batched_reasons,
         ungrounded_citations,
         grounding_metrics,
         portfolio_scalars,

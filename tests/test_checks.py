@@ -71,3 +71,15 @@ def test_row_rules_are_counted_together(spark):
     with pytest.raises(checks.CheckFailed, match="t a not null, b range: 2 offending"):
         checks.require_rows("t", df, rules)
     checks.require_rows("t", df.where("a = 3"), rules)
+
+
+def test_content_sees_every_difference_but_order(spark):
+    rows_ = [(1, None, "x"), (1, None, "x"), (None, 1, "x"), (2, 3, None)]
+    make = lambda data: spark.createDataFrame(data, "a int, b int, c string")
+    one = checks.content(make(rows_).repartition(3))
+    assert one == checks.content(make(rows_[::-1])) == checks.content(make(rows_).select("c", "a", "b"))
+    others = [rows_[1:], rows_ + rows_[:1], [(None, 1, "x")] + rows_[1:], [(1, None, ""), *rows_[1:]], [(1, 1, "x")] + rows_[1:]]
+    assert all(checks.content(make(o)) != one for o in others)
+    assert checks.content(make(rows_).where("false")) == (0, None, None)
+    assert checks.changed_rows(make(rows_), make(rows_[::-1])) == 0
+    assert checks.changed_rows(make(rows_), make(rows_[1:] + [(9, 9, "z")])) == 2

@@ -2,6 +2,7 @@
 
 import pytest
 from conftest import SMALL, rows
+from pyspark.sql import functions as F
 
 from creditweave.operators import grounding, reasons
 from creditweave.plans import registry
@@ -105,3 +106,23 @@ def test_no_product_of_reasons_and_labels(spark):
     found = grounding.ungrounded_citations(declines(spark), labels(spark))
     plan = found._jdf.queryExecution().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_a_writer_sees_each_prompt_once(spark):
+    """Calls do not grow with applicants; rows without a prompt have no text."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def write(prompts):
+        seen.add(len(prompts))
+        return "because: " + prompts
+
+    lists = ["a; b; c", "b; a; c", "c", None]
+    for n in (40, 4000):
+        before = seen.value
+        df = spark.range(n).select(
+            F.col("id").alias("application_id"), F.element_at(F.array(*[F.lit(x) for x in lists]), (F.col("id") % 4 + 1).cast("int")).alias("driver_list")
+        )
+        got = reasons.with_reason(df.repartition(6), write).collect()
+        assert seen.value - before == 3 and len(got) == n
+        assert all((r.adverse_action_reason is None) == (r.driver_list is None) for r in got)
+        assert all(r.driver_list in r.adverse_action_reason for r in got if r.driver_list)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from creditweave.functions.numbers import summable
 from creditweave.sources.schemas import struct
@@ -136,12 +136,41 @@ def require_empty(name: str, offending: DataFrame) -> None:
 
 def require_rows(table: str, df: DataFrame, rules: dict[str, Column]) -> None:
     """Raise if any row breaks any rule; all rules are counted in one pass."""
-    counts = df.agg(*[F.count_if(rule).alias(name) for name, rule in rules.items()]).first().asDict()
+    refuse(table, df.agg(*[F.count_if(rule).alias(name) for name, rule in rules.items()]).first().asDict())
+
+
+def refuse(table: str, counts: dict[str, int]) -> None:
+    """Raise if any rule counted rows at fault."""
     broken = {name: n for name, n in counts.items() if n}
     if broken:
         raise CheckFailed(f"{table} {', '.join(broken)}", sum(broken.values()))
 
 
+def write_observed(df: DataFrame, path: str, rules: dict, **options) -> dict:
+    """Write ``df`` and count on the way, for each rule, the rows it is true of."""
+    if not rules:
+        df.write.mode("overwrite").parquet(path, **options)
+        return {}
+    seen = Observation()
+    named = {f"rule_{i}": rule for i, rule in enumerate(rules.values())}
+    df.observe(seen, *[F.count_if(r).alias(n) for n, r in named.items()]).write.mode("overwrite").parquet(path, **options)
+    return {rule: seen.get[n] for rule, n in zip(rules, named)}
+
+
+def repeated_keys(df: DataFrame, keys: tuple[str, ...]) -> dict[str, int]:
+    """How many values each key column has more than once, nulls apart; all columns in one shuffle."""
+    if not keys:
+        return {}
+    # A grouping set leaves all other columns null: ``grouping`` tells that from values that are.
+    sets = [[F.col(k)] for k in keys]
+    own = [F.grouping(k).alias(f"_of_{i}") for i, k in enumerate(keys)]
+    counted = df.groupingSets(sets, *[F.col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"), *own)
+    twice = [
+        F.count_if((F.col(f"_of_{i}") == 0) & F.col(k).isNotNull() & (F.col("_n") > 1)).alias(f"_twice_{i}") for i, k in enumerate(keys)
+    ]
+    return dict(zip(keys, counted.agg(*twice).first()))
+
+
 def require_contract(name: str, df: DataFrame, wanted: str | T.StructType) -> None:
     breaks = contract_breaks(df, wanted)
     if breaks:

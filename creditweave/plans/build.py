@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from creditweave.operators import checks, grounding, marts, reasons, staging
+from creditweave.plans.catalogue import CATALOGUE
 from creditweave.session import cut_lineage, scratch_path
 from creditweave.settings import ID, TARGET, Policy
 from creditweave.sources.schemas import PD_PREDICTIONS, struct
@@ -25,6 +26,11 @@ def present(*columns: str) -> dict[str, Column]:
     return {f"{c} not null": checks.is_missing(c) for c in columns}
 
 
+def gates(table: str) -> dict[str, Column]:
+    """The declared row rules of a table, by a name to report."""
+    return {f"{column} {check}": rule for (check, column), rule in CATALOGUE[table].rules().items()}
+
+
 def gold_tables(spark: SparkSession, root: str) -> dict[str, VersionedTable]:
     """The gold tables below ``root``, clustered for how they are read."""
     return {
@@ -68,17 +74,8 @@ def build_features(spark: SparkSession, bronze: dict[str, DataFrame], root: str)
     rollup = cut_lineage(marts.credit_rollup(credits))
     too_many = checks.outside("prior_credit_count", 1, 1000)
     checks.require_rows("rollup", rollup, {**present(ID), "prior_credit_count range": too_many})
-    tables["applications"].refresh(marts.applicant_features(applications, rollup))
-    checks.require_rows(
-        "mart",
-        tables["applications"].read(),
-        {
-            **present(ID, TARGET, "prior_credit_count"),
-            "is_default accepted": checks.not_accepted(TARGET, [0, 1]),
-            "prior_credit_count range": checks.outside("prior_credit_count", 0, None),
-            "active_credit_count range": checks.outside("active_credit_count", 0, None),
-        },
-    )
+    # The mart is checked while it is written.
+    tables["applications"].refresh(marts.applicant_features(applications, rollup), gates("applications"))
     tables["payments"].upsert(payments)
     return tables
 
@@ -116,7 +113,7 @@ def build_decisions(
     )
     gate("predictions unique", checks.unique(staged, ID))
     gate("predictions without application", checks.orphans(staged, ID, mart, ID))
-    tables["scored"].refresh(marts.scored_applicants(mart, staged))
+    tables["scored"].refresh(marts.scored_applicants(mart, staged), gates("scored"))
 
     drivers = cut_lineage(marts.declined_drivers(tables["scored"].read(), labels, policy))
     named = [f"top{i}_label" for i in (1, 2, 3)]
@@ -125,5 +122,5 @@ def build_decisions(
     explained = cut_lineage(reasons.with_reason(drivers, write_reason))
     checks.require_rows("reasons", explained, present("adverse_action_reason"))
     gate("reasons cite foreign factors", grounding.ungrounded_citations(explained, labels))
-    tables["declines"].refresh(explained)
+    tables["declines"].refresh(explained, gates("declines"))
     return tables

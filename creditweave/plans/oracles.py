@@ -5,6 +5,7 @@ from __future__ import annotations
 from creditweave.operators.audit import FORBIDDEN_VERBS
 from creditweave.operators.marts import HISTORY
 from creditweave.operators.scorecard import DEFAULT_SCORECARD
+from creditweave.plans.catalogue import CATALOGUE
 from creditweave.plans.registry import DRAFTS, FIXED_TREES, LOADED_UNTIL, TOP_DECLINES
 from creditweave.settings import CATEGORICAL, FEATURES, NUMERIC_FEATURES
 from creditweave.sources import schemas
@@ -706,6 +707,47 @@ TREE_DRIVERS = f"""
 """
 
 
+# Tables with planted faults, as the catalogue is asked about.
+CHECKED = {
+    "stage_applications": "select * from faulty",
+    "stage_credits": "select * from stage_credits union all select * from stage_credits where application_id % 3 = 0",
+    "stage_payments": "select * from stage_payments",
+    "stage_predictions": "select * from stage_predictions",
+    "credit_rollup": "select * from credit_rollup",
+    "drivers": "select * from declined",
+    "applications": "select * from applicant_features where application_id % 11 <> 0",
+    "payments": "select * from corrected",
+    "scored": "select * from scored_applicants",
+    "declines": "select * from decline_reasons",
+    "labels": f"""
+        select feature_name, case when feature_name = 'age_years' then {text(LABELS["income_total"])} else feature_label end as feature_label
+        from feature_labels
+    """,
+}
+
+
+def _catalogue() -> str:
+    parts = []
+    for name, declared in CATALOGUE.items():
+        tests = [("not_null", c, f"{c} is null") for c in declared.not_null]
+        tests += [("accepted_values", c, f"{c} not in ({', '.join(map(str, v))})") for c, v in declared.accepted.items()]
+        for c, (low, high) in declared.ranges.items():
+            bounds = [f"{c} < {low}"] * (low is not None) + [f"{c} > {high}"] * (high is not None)
+            tests.append(("accepted_range", c, " or ".join(bounds)))
+        counts = [(check, c, f"(select count(*) from {name}_checked where {test})") for check, c, test in tests]
+        counts += [
+            ("unique", c, f"(select count(*) from (select {c} from {name}_checked where {c} is not null group by {c} having count(*) > 1))")
+            for c in declared.unique
+        ]
+        counts += [
+            ("relationships", c, f"(select count(distinct {c}) from {name}_checked where {c} not in (select {key} from {parent}_checked))")
+            for c, (parent, key) in declared.known.items()
+        ]
+        parts += [f"select {text(name)} as table_name, {text(check)} as check, {text(c)} as column_name, {n} as offending_rows" for check, c, n in counts]
+    steps = ", ".join(f"{name}_checked as materialized ({sql})" for name, sql in CHECKED.items())
+    return f"with {steps} " + " union all ".join(parts)
+
+
 FINAL = {
     **{
         name: f"select * from {name}"
@@ -824,6 +866,7 @@ FINAL = {
         group by c.application_id
     """,
     "check_contract": CONTRACT,
+    "check_catalogue": _catalogue(),
     "score_auc": AUC,
     "score_ks": KS,
     "brier": BRIER,

@@ -1,9 +1,12 @@
 """Each check returns exactly the offending rows."""
 
+import math
+
 import pytest
 from conftest import rows
 
 from creditweave.operators import checks
+from creditweave.plans.catalogue import CATALOGUE
 from creditweave.sources.schemas import CONTRACTS, contract, struct
 
 
@@ -83,3 +86,34 @@ def test_content_sees_every_difference_but_order(spark):
     assert checks.content(make(rows_).where("false")) == (0, None, None)
     assert checks.changed_rows(make(rows_), make(rows_[::-1])) == 0
     assert checks.changed_rows(make(rows_), make(rows_[1:] + [(9, 9, "z")])) == 2
+
+
+def test_rules_are_counted_while_rows_are_written(spark, folder):
+    seen = spark.sparkContext.accumulator(0)
+
+    def tally(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame([(1, None, 0.5), (2, 7, 1.5), (3, 0, None), (4, 0, math.nan)], "id int, v int, x double")
+    rules = {("a", "v"): checks.is_missing("v"), ("b", "v"): checks.not_accepted("v", [0, 1]), ("c", "x"): checks.outside("x", 0, 1)}
+    found = checks.write_observed(df.repartition(3).mapInArrow(tally, df.schema), f"{folder}/t", rules)
+    assert found == {("a", "v"): 1, ("b", "v"): 1, ("c", "x"): 2}
+    assert seen.value == 4 and spark.read.parquet(f"{folder}/t").count() == 4
+    assert checks.write_observed(df, f"{folder}/u", {}) == {}
+
+
+def test_all_keys_are_counted_in_one_shuffle(spark):
+    df = spark.createDataFrame([(1, "a", 5), (1, "b", 5), (None, "b", 6), (None, "b", 7), (2, None, None)], "k int, s string, u int")
+    assert checks.repeated_keys(df, ("k", "s", "u")) == {"k": 1, "s": 1, "u": 1}
+    assert checks.repeated_keys(df, ("k",)) == {"k": 1} and checks.repeated_keys(df, ()) == {}
+    assert checks.repeated_keys(df.where("false"), ("k", "s")) == {"k": 0, "s": 0}
+
+
+def test_every_declared_column_is_one_of_its_table():
+    for name, declared in CATALOGUE.items():
+        if name in CONTRACTS:
+            columns = set(contract(name).names)
+            used = {c for _, c in declared.rules()} | set(declared.unique) | set(declared.known)
+            assert used <= columns

@@ -11,25 +11,29 @@ of the labelled rows.
 
 from __future__ import annotations
 
-import re
 from collections import Counter, defaultdict
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+import regex
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from creditweave.llm.common import hash_sample, map_rows
+from creditweave.llm.common import map_rows
+from creditweave.session import cut_lineage
 
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+# Unicode category L: numerals that are no digits, like circled or halved ones, are not letters.
+LETTER = regex.compile(r"\p{L}")
+HASHES = 1_000_000_007
 
 
 @dataclass(frozen=True)
 class Params:
     """Bounds of the training sample, and the network's shape."""
 
-    sample_rows: int = 2000
-    sample_segments: int = 20_000
+    # Rows and distinct segments of each language that are learnt from at most.
+    sample_rows: int = 500
+    sample_segments: int = 5000
     longest_segment: int = 24
     hidden: int = 12
     epochs: int = 12
@@ -212,12 +216,19 @@ class Labeller:
 
 
 def training_examples(labelled: DataFrame, params: Params, id_column: str, text_column: str, lang_column: str) -> list:
-    """Segments of the sampled rows with their counts, the most frequent ones.
+    """Segments of the sampled rows with their counts, the most frequent ones of each language.
 
-    The sample is the ``sample_rows`` rows of least hash; only their segments
-    leave the executors, ``sample_segments`` at most.
+    The sample is the ``sample_rows`` rows of least hash of each language,
+    however rare it is; only their segments leave the executors,
+    ``sample_segments`` a language at most.
     """
-    ids = hash_sample(labelled, id_column, params.sample_rows)
+    hashed = F.pmod(F.xxhash64(F.col(id_column).cast("string")), F.lit(HASHES))
+    rows_ = labelled.select(F.col(id_column).alias("id"), F.col(lang_column).alias("lang"), hashed.alias("hash"))
+    sizes = rows_.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # A share of the hashes that holds about twice as many goes first, so that few rows leave their tasks.
+    near = rows_.join(sizes, "lang").where(F.col("hash") <= F.lit(2.0 * params.sample_rows * HASHES) / F.col("n"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("hash", "id"))
+    ids = cut_lineage(near.withColumn("place", place).where(F.col("place") <= params.sample_rows).select(F.col("id").alias(id_column)).distinct())
 
     def tally(rows):
         seen = Counter()
@@ -228,10 +239,12 @@ def training_examples(labelled: DataFrame, params: Params, id_column: str, text_
                 seen.clear()
         yield from ((s, lang, n) for (s, lang), n in seen.items())
 
-    chosen = labelled.join(F.broadcast(ids), id_column, "left_semi").select(text_column, lang_column)
+    # Spark sends the ids to all tasks as long as their file is small.
+    chosen = labelled.join(ids, id_column, "left_semi").select(text_column, lang_column)
     counts = map_rows(chosen, "segment binary, lang string, n long", tally).groupBy("segment", "lang").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "segment", "lang").limit(params.sample_segments)
-    return [(bytes(r[0]), r[1], r[2]) for r in top.collect()]
+    often = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "segment"))
+    top = counts.withColumn("place", often).where(F.col("place") <= params.sample_segments)
+    return [(bytes(r[0]), r[1], r[2]) for r in top.select("segment", "lang", "n").collect()]
 
 
 def identify(

@@ -1,9 +1,11 @@
 """Language identification: gradient, held-out accuracy, odd rows."""
 
+import unicodedata
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from creditweave.llm import language_id as li
 from creditweave.llm.common import documents
@@ -57,3 +59,42 @@ def test_only_text_is_read_for_a_prediction(spark):
     bare = spark.createDataFrame(rows[:3], schema).selectExpr("doc_id", "text", "cast(null as string) lang")
     assert {(r.lang_pred, r.score) for r in li.identify(bare, params).collect()} == {("und", 0.0)}
     assert li.identify(bare.limit(0), params).collect() == []
+
+
+def test_only_letters_make_a_text_known_and_signs_do_not(spark):
+    rows = [(k, "the and of with" if k % 2 else "der die und das", "en" if k % 2 else "de") for k in range(60)]
+    signs = {100: "½ ² ①", 101: "Ⅷ ⅓ _ ٣ 7", 102: "ª", 103: "日", 104: "\u0301"}
+    df = spark.createDataFrame(rows + [(k, t, None) for k, t in signs.items()], "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in li.identify(df, li.Params(epochs=2)).collect()}
+    assert [got[k].lang_pred == "und" for k in signs] == [True, True, False, False, True]
+    assert got[100].score == 0
+
+
+def test_a_rare_language_is_learnt(spark):
+    """One row in three thousand, with segments rarer than any of the hot language's."""
+    rng = np.random.default_rng(5)
+    vocabulary = ["the", "and", "of", "with", "house", "which", "there", "would", "could", "river"]
+    rows = [(k, " ".join(rng.choice(vocabulary, 12)), "en") for k in range(3000)]
+    rare = "żółć gęślą jaźń zażółć źdźbło ślą ęąś łódź"
+    rows += [(3001, f"{rare} {rare}", "pl"), (9001, "zażółć gęślą źdźbło łódź", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in li.identify(df, li.Params(sample_rows=100, sample_segments=200), held_out=F.col("doc_id") > 9000).collect()}
+    assert got[9001].lang_pred == "pl" and {got[k].lang_pred for k in range(3000)} == {"en"}
+
+
+def test_labels_equal_the_network_s_on_every_document(spark):
+    """Each text once more, without cache, chunks or workers."""
+    docs = documents(spark, "/root/testdata/sf0.001")
+    params = li.Params(epochs=3, cache_size=40, chunk_bytes=3000)
+    learnt = docs.where("lang is not null and text is not null and crc32(cast(doc_id as string)) % 5 <> 0")
+    net = li.train(li.training_examples(learnt, params, "doc_id", "text", "lang"), params)
+    got = {r.doc_id: r for r in li.identify(docs, params).collect()}
+    for row in docs.collect():
+        mine = got[row.doc_id]
+        if not any(unicodedata.category(c).startswith("L") for c in row.text or ""):
+            assert (mine.lang_pred, mine.score) == ("und", 0.0)
+            continue
+        each = [net.label(np.frombuffer(s, np.uint8)[None])[:, 0] for s in li.segments(row.text, params.longest_segment)]
+        p = np.concatenate(each).mean(axis=0)
+        assert mine.lang_pred == net.languages[int(p.argmax())] or np.sort(p)[-1] - np.sort(p)[-2] < 1e-4
+        assert mine.score == pytest.approx(p.max(), abs=1e-4)

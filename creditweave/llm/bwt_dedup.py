@@ -11,12 +11,14 @@ and most text, which repeats nothing, stays where it is:
 2. Neighbouring strings of one repeated marker make a piece. A part's distinct
    pieces are dealt to buckets by marker, as the Burrows-Wheeler transform of
    a sorted collection: a shard.
-3. A bucket merges its shards. The transforms give each shard's suffixes in
-   order; the interleave of all shards starts from these runs and is refined
-   round by round, by some further symbols of the suffixes that still agree,
-   until common prefixes of ``SPAN`` are known. Intervals that remain are the
-   repeated strings; each gets the least id of its documents.
-4. The ids go back to the parts, which remove what is covered.
+3. A bucket merges its shards by refining their interleave, two symbols a round:
+   rows that agree in so many symbols step back along their own transform to the
+   suffixes that are two symbols longer, and are counted into order by these.
+   No text is rebuilt and no suffix sorted again. An interval of one row is done,
+   its common prefix known; intervals that remain at ``SPAN`` symbols are the
+   repeated strings, and each gets the least id of its documents.
+4. The ids go back to the parts, with the places of their pieces, and what is
+   covered is removed.
 
 A marker that very many pieces share is dealt by whole strings instead, so
 that no bucket is larger than its share; equal strings still meet.
@@ -152,27 +154,23 @@ def _eights(symbols: np.ndarray) -> np.ndarray:
     return out
 
 
-def refine(
-    order: np.ndarray, eights: np.ndarray, stop: np.ndarray, depth: int | None, block: np.ndarray | None = None
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sort suffixes (places in a text) by their first ``depth`` symbols, all of them if None.
+def sorted_suffixes(eights: np.ndarray, stop: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """Places of a text in the order of their suffixes, each block of places on its own.
 
-    ``order`` is the interleave so far, ``block`` numbers the intervals it is
-    known to consist of, ascending. Each round takes some more symbols of the
-    suffixes that agree with another one so far, as many as fit beside the
-    interval's number. Equal whole suffixes follow the text. Returns the order,
-    and the first and end rows of the intervals that agree in all rounds.
+    ``block`` numbers ascend. Each round takes some more symbols of the suffixes
+    that agree with another one so far, as many as fit beside the number of
+    their interval. Equal whole suffixes follow the text.
     """
-    order, rows = order.copy(), np.arange(len(order))
-    block = np.zeros(len(order), np.uint64) if block is None else block.astype(np.uint64)
+    rows = np.arange(len(stop))
+    order, block = rows.copy(), block.astype(np.uint64)
     width = max(1, min(8, (64 - len(order).bit_length()) // 8))
     bits = np.uint64(8 * width)
     # The first n symbols of a key.
     masks = np.array([((1 << 8 * n) - 1) << 8 * (width - n) for n in range(width + 1)], np.uint64)
     at = 0
-    while len(rows) and (depth is None or at < depth):
+    while len(rows):
         suffix = order[rows]
-        left = np.minimum(stop[suffix] - suffix - at, width if depth is None else min(width, depth - at))
+        left = np.minimum(stop[suffix] - suffix - at, width)
         key = (eights[np.minimum(suffix + at, len(eights) - 1)] >> (np.uint64(64) - bits)) & masks[np.maximum(left, 0)]
         if width < 8:
             key |= block << bits
@@ -183,24 +181,14 @@ def refine(
         size = np.diff(np.append(first, len(rows)))
         block = np.repeat(np.arange(len(first), dtype=np.uint64), size)
         tied = np.repeat(size > 1, size)
-        if depth is None:
-            ended = tied & (left < width)
-            if ended.any():
-                same = order[rows[ended]]
-                order[rows[ended]] = same[np.lexsort((same, block[ended]))]
-            tied &= left == width
+        ended = tied & (left < width)
+        if ended.any():
+            same = order[rows[ended]]
+            order[rows[ended]] = same[np.lexsort((same, block[ended]))]
+        tied &= left == width
         rows, block = rows[tied], block[tied]
         at += width
-    if not len(rows):
-        return order, np.empty(0, np.int64), np.empty(0, np.int64)
-    first = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
-    return order, rows[first], rows[np.append(first[1:], len(rows)) - 1] + 1
-
-
-def _laid_out(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First place of each string and its terminator's, when laid end to end."""
-    stop = np.cumsum(lengths + 1) - 1
-    return stop - lengths, stop
+    return order
 
 
 def transforms(shards: list[list[bytes]]) -> list[np.ndarray]:
@@ -211,62 +199,81 @@ def transforms(shards: list[list[bytes]]) -> list[np.ndarray]:
     """
     pieces = [p for shard in shards for p in shard]
     lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
-    _, stop = _laid_out(lengths)
+    stop = np.cumsum(lengths + 1) - 1
     symbols = np.frombuffer(b"\xff".join(pieces) + b"\xff", np.uint8) + np.uint8(1)
     sizes = [sum(map(len, shard)) + len(shard) for shard in shards]
     block = np.repeat(np.arange(len(shards)), sizes)
-    order, _, _ = refine(np.arange(len(symbols)), _eights(symbols), np.repeat(stop, lengths + 1), None, block)
+    order = sorted_suffixes(_eights(symbols), np.repeat(stop, lengths + 1), block)
     return np.split(np.concatenate((np.zeros(1, np.uint8), symbols))[order], np.cumsum(sizes)[:-1])
 
 
-class Shards:
-    """The shards of one bucket, side by side: their texts and orders, read off their transforms."""
-
-    def __init__(self, shards: list[tuple[np.ndarray, np.ndarray]]):
-        sizes = [len(t) for t, _ in shards]
-        lengths = np.concatenate([n for _, n in shards]).astype(np.int64)
-        self.first, self.stop = _laid_out(lengths)
-        offset = np.cumsum([0, *sizes])
-        follow = [np.argsort(t, kind="stable") + o for (t, _), o in zip(shards, offset)]
-        heads = np.concatenate([np.sort(t) for t, _ in shards])
-        row = np.concatenate([f[: len(n)] for f, (_, n) in zip(follow, shards)])
-        follow = np.concatenate(follow)
-        self.symbols = np.zeros(offset[-1], np.uint8)
-        self.place = np.empty(offset[-1], np.int64)
-        # All strings are read at once, a symbol a step, from the row of the whole string.
-        place, end = self.first.copy(), self.stop
-        while len(row):
-            self.symbols[place], self.place[row] = heads[row], place
-            going = place < end
-            row, place, end = follow[row[going]], place[going] + 1, end[going]
-
-    def least(self, ids: np.ndarray) -> np.ndarray:
-        """For each start of a string of ``SPAN``, at its place, the least id of all that are equal."""
-        lengths = self.stop - self.first + 1
-        stop = np.repeat(self.stop, lengths)
-        out = np.repeat(ids, lengths)
-        starts = self.place[self.place + SPAN <= stop[self.place]]
-        order, first, end = refine(starts, _eights(self.symbols), stop, SPAN)
-        if len(first):
-            size = end - first
-            begin = np.cumsum(size) - size
-            rows = np.repeat(first - begin, size) + np.arange(size.sum())
-            out[order[rows]] = np.repeat(np.minimum.reduceat(out[order[rows]], begin), size)
-        return out
+def backward(shards: list[np.ndarray]) -> np.ndarray:
+    """Of each row of the transforms, laid end to end, the row of the suffix that is one symbol longer."""
+    size, at = sum(map(len, shards)), 0
+    back = np.empty(size, np.int32 if size < 1 << 31 else np.int64)
+    for made in shards:
+        back[at + np.argsort(made, kind="stable")] = np.arange(at, at + len(made))
+        at += len(made)
+    return back
+
+
+def least_ids(shards: list[tuple[np.ndarray, np.ndarray]], ids: np.ndarray) -> np.ndarray:
+    """For each string of ``SPAN`` in each piece, in order, the least id of all that are equal.
+
+    ``shards`` are transforms with the lengths of their pieces, ``ids`` one per
+    piece, shard by shard.
+    """
+    made, lengths = [t for t, _ in shards], np.concatenate([n for _, n in shards]).astype(np.int64)
+    count = lengths - SPAN + 1
+    begin = np.cumsum(count) - count
+    back, symbols = backward(made), np.concatenate(made)
+    offsets = np.cumsum([0] + [len(t) for t in made])
+    # The rows at which strings end, read back from the terminators, a symbol a step.
+    end = np.empty(count.sum(), back.dtype)
+    row = np.concatenate([np.arange(o, o + len(n)) for o, (_, n) in zip(offsets, shards)])
+    string, low = begin + count - 1, begin
+    while len(row):
+        end[string] = row
+        going = string > low
+        row, string, low = back[row[going]], string[going] - 1, low[going]
+    # The interleave of no symbols: all rows agree, shard after shard in its own order.
+    string = np.full(len(back), -1, back.dtype)
+    string[end] = np.arange(len(end))
+    row = np.flatnonzero(string >= 0)
+    string, block = string[row], np.zeros(len(row), np.int32)
+    before, further, depth = (symbols[back].astype(np.uint16) << 8) | symbols, back[back], 0
+    while depth < SPAN and len(row):
+        if SPAN - depth == 1:
+            before, further = symbols, back
+        key = before[row]
+        sort = np.argsort(key, kind="stable")  # by counting, as keys are short
+        key, block, row, string = key[sort], block[sort], further[row[sort]], string[sort]
+        opens = np.concatenate(([True], (key[1:] != key[:-1]) | (block[1:] != block[:-1])))
+        tied = ~(opens & np.append(opens[1:], True))
+        row, string, block = row[tied], string[tied], np.cumsum(opens[tied], dtype=np.int32)
+        depth += 2
+    out = np.repeat(ids, count)
+    if len(string):
+        first = np.flatnonzero(np.diff(block, prepend=0))
+        out[string] = np.repeat(np.minimum.reduceat(out[string], first), np.diff(np.append(first, len(string))))
+    return out
 
 
 # -- parts -------------------------------------------------------------------------
 
 
+def _end_to_end(docs: list[tuple[int | None, bytes]]) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """Texts of documents as one, their ids and where they end."""
+    texts = [zstandard.ZstdDecompressor().decompress(z) for _, z in docs]
+    ids = np.array([NO_ID if k is None else k for k, _ in docs], np.int64)
+    return b"".join(texts), ids, np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
+
+
 class Part:
     """Documents of one part laid end to end, and the pieces that hold repeated markers."""
 
     def __init__(self, docs: list[tuple[int | None, bytes]], buckets: int, known: list[bytes], marker: Marker):
-        texts = [zstandard.ZstdDecompressor().decompress(z) for _, z in docs]
-        self.names = [k for k, _ in docs]
-        self.ids = np.array([NO_ID if k is None else k for k in self.names], np.int64)
-        self.text = b"".join(texts)
-        self.ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
+        self.text, self.ids, self.ends = _end_to_end(docs)
         lists = [_unpack(b) for b in known]
         keys = np.concatenate([np.cumsum(k) for k, _ in lists]) if lists else np.empty(0, np.uint64)
         crowded = np.concatenate([c for _, c in lists]) if lists else np.empty(0, np.uint8)
@@ -285,55 +292,71 @@ class Part:
         self.count = np.minimum(size[owner], count[owner] - place * size[owner])
         self.doc = np.searchsorted(self.ends, self.first, side="right")
         single, bucket = crowd[owner], (key[owner] % np.uint64(buckets)).astype(np.int64)
-        self.number: dict[bytes, int] = {}
-        self.bucket: list[int] = []
-        self.piece = np.empty(len(self.first), np.int64)
-        text, number = self.text, self.number
-        for i, (a, n, b, alone) in enumerate(zip(self.first.tolist(), self.count.tolist(), bucket.tolist(), single.tolist())):
-            piece = text[a : a + n + SPAN - 1]
-            k = number.setdefault(piece, len(number))
-            if k == len(self.bucket):
-                self.bucket.append(xxhash.xxh64_intdigest(piece) % buckets if alone else b)
-            self.piece[i] = k
-
-    def shards(self) -> Iterator[tuple[int, list[bytes]]]:
-        """Bucket and sorted pieces."""
+        text = self.text
+        pieces = [text[a:b] for a, b in zip(self.first.tolist(), (self.first + self.count + SPAN - 1).tolist())]
+        number = {piece: k for k, piece in enumerate(dict.fromkeys(pieces))}
+        self.distinct = list(number)
+        self.piece = np.fromiter(map(number.__getitem__, pieces), np.int64, len(pieces))
+        self.bucket = np.empty(len(number), np.int64)
+        self.bucket[self.piece] = bucket
+        alone = np.zeros(len(number), bool)
+        alone[self.piece] = single
+        for k in np.flatnonzero(alone).tolist():
+            self.bucket[k] = xxhash.xxh64_intdigest(self.distinct[k]) % buckets
+
+    def shards(self) -> Iterator[tuple[int, list[int]]]:
+        """Bucket and numbers of its pieces, in the order of their bytes."""
         dealt = defaultdict(list)
-        for piece, k in self.number.items():
-            dealt[self.bucket[k]].append(piece)
-        for bucket, pieces in sorted(dealt.items()):
-            pieces.sort()
-            yield bucket, pieces
+        for k, bucket in enumerate(self.bucket.tolist()):
+            dealt[bucket].append(k)
+        for bucket, numbers in sorted(dealt.items()):
+            numbers.sort(key=self.distinct.__getitem__)
+            yield bucket, numbers
 
     def extremes(self) -> tuple[np.ndarray, np.ndarray]:
         """Least and greatest document id of each piece."""
-        low = np.full(len(self.number), np.iinfo(np.int64).max)
-        high = np.full(len(self.number), NO_ID)
+        low = np.full(len(self.distinct), np.iinfo(np.int64).max)
+        high = np.full(len(self.distinct), NO_ID)
         np.minimum.at(low, self.piece, self.ids[self.doc])
         np.maximum.at(high, self.piece, self.ids[self.doc])
         return low, high
 
-    def removed(self, found: dict[int, list[np.ndarray]]) -> np.ndarray:
-        """Mask over the text, from each bucket's ``(rank of piece, least ids of its strings)``."""
-        begin = np.full(len(self.number), -1, np.int64)
-        values, at = [], 0
-        for bucket, pieces in self.shards():
-            if bucket in found:
-                ranks, low = found[bucket]
-                sizes = np.array([len(pieces[r]) - SPAN + 1 for r in ranks], np.int64)
-                begin[[self.number[pieces[r]] for r in ranks]] = at + np.cumsum(sizes) - sizes
-                values.append(low)
-                at += len(low)
-        cover = np.zeros(len(self.text) + 1, np.int32)
-        told = np.flatnonzero(begin[self.piece] >= 0)
-        if len(told):
-            low, n = np.concatenate(values), self.count[told]
-            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            earlier = low[np.repeat(begin[self.piece[told]], n) + step] < np.repeat(self.ids[self.doc[told]], n)
-            start = (np.repeat(self.first[told], n) + step)[earlier]
-            cover[: len(self.text)] += np.bincount(start, minlength=len(self.text)).astype(np.int32)
-            cover -= np.bincount(start + SPAN, minlength=len(self.text) + 1).astype(np.int32)
-        return np.cumsum(cover[:-1]) > 0
+    def places(self, shards: list[tuple[int, list[int]]]) -> bytes:
+        """Where pieces are, how many strings they have, and their ranks over all shards."""
+        rank = np.empty(len(self.distinct), np.uint32)
+        rank[[k for _, numbers in shards for k in numbers]] = np.arange(len(rank))
+        buckets = np.array([b for b, _ in shards], np.int64)
+        sizes = np.array([len(numbers) for _, numbers in shards], np.int64)
+        return _pack(_ascending(self.first), self.count.astype(np.uint16), rank[self.piece], buckets, sizes)
+
+
+def removed(ids: np.ndarray, ends: np.ndarray, places: bytes, found: dict[int, list[np.ndarray]]) -> np.ndarray:
+    """Mask over a part's text, from each bucket's ``(rank of piece, least ids of its strings)``."""
+    first, count, rank, buckets, sizes = _unpack(places)
+    first, count = np.cumsum(first), count.astype(np.int64)
+    strings = np.zeros(sizes.sum(), np.int64)
+    strings[rank] = count
+    begin = np.full(len(strings), -1, np.int64)
+    values, at = [], 0
+    for bucket, offset in zip(buckets.tolist(), (np.cumsum(sizes) - sizes).tolist()):
+        if bucket in found:
+            ranks, low = found[bucket]
+            n = strings[offset + ranks.astype(np.int64)]
+            begin[offset + ranks.astype(np.int64)] = at + np.cumsum(n) - n
+            values.append(low)
+            at += len(low)
+    length = int(ends[-1])
+    cover = np.zeros(length + 1, np.int32)
+    told = np.flatnonzero(begin[rank] >= 0)
+    if len(told):
+        low, n, first = np.concatenate(values), count[told], first[told]
+        mine = ids[np.searchsorted(ends, first, side="right")]
+        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        earlier = low[np.repeat(begin[rank[told]], n) + step] < np.repeat(mine, n)
+        start = (np.repeat(first, n) + step)[earlier]
+        cover[:length] += np.bincount(start, minlength=length).astype(np.int32)
+        cover -= np.bincount(start + SPAN, minlength=length + 1).astype(np.int32)
+    return np.cumsum(cover[:-1]) > 0
 
 
 def _grouped(rows: Iterator[tuple]) -> Iterator[tuple[object, list[tuple]]]:
@@ -439,45 +462,43 @@ def repeated_markers(lists: DataFrame) -> DataFrame:
     return map_rows(dealt.select("range", "part", "markers"), "part long, known binary, n long", rows, batch=100)
 
 
-def _with_documents(texts: DataFrame, known: DataFrame, found: DataFrame | None = None) -> DataFrame:
-    """Each part's markers, findings and then documents, in one stretch of rows."""
-    none = F.lit(None).cast("long")
-    rows = known.select("part", F.lit(0).alias("kind"), none.alias("doc"), F.lit(0).alias("bucket"), F.col("known").alias("body"))
-    if found is not None:
-        rows = rows.unionByName(found.select("part", F.lit(1).alias("kind"), none.alias("doc"), "bucket", F.col("found").alias("body")))
-    rows = rows.unionByName(texts.select("part", F.lit(2).alias("kind"), "doc", F.lit(0).alias("bucket"), "body"))
-    return rows.repartition("part").sortWithinPartitions("part", "kind", "doc")
-
+def _with_documents(texts: DataFrame, told: DataFrame) -> DataFrame:
+    """What each part is told, ``(part, bucket, body)``, and then its documents, in one stretch of rows.
 
-def _part(held: list[tuple], buckets: int, marker: Marker) -> Part:
-    return Part([(r[2], r[4]) for r in held if r[1] == 2], buckets, [r[4] for r in held if r[1] == 0], marker)
+    Documents are in the same order each time, those of one id too.
+    """
+    none = F.lit(None).cast("long")
+    rows = told.select("part", F.lit(0).alias("kind"), none.alias("doc"), "bucket", "body")
+    rows = rows.unionByName(texts.select("part", F.lit(1).alias("kind"), "doc", F.lit(0).alias("bucket"), "body"))
+    return rows.repartition("part").sortWithinPartitions("part", "kind", "doc", "body")
 
 
 def shard_transforms(dealt: DataFrame, buckets: int) -> DataFrame:
-    """``(bucket, part, shard)``: transforms of each part's pieces."""
+    """``(bucket, part, shard)``: transforms of each part's pieces; below bucket 0, places of the pieces."""
 
     def rows(incoming):
         marker = Marker()
         for name, held in _grouped(incoming):
             if held[0][1] != 0:
                 continue
-            part = _part(held, buckets, marker)
+            part = Part([(r[2], r[4]) for r in held if r[1] == 1], buckets, [r[4] for r in held if r[1] == 0], marker)
+            shards = list(part.shards())
             low, high = part.extremes()
-            for lot in _lots(part.shards()):
-                for (bucket, pieces), made in zip(lot, transforms([pieces for _, pieces in lot])):
-                    numbers = [part.number[p] for p in pieces]
+            yield -1 - (hash(name) & 0x3FFFFFFF), name, part.places(shards)
+            for lot in _lots((bucket, numbers, [part.distinct[k] for k in numbers]) for bucket, numbers in shards):
+                for (bucket, numbers, pieces), made in zip(lot, transforms([pieces for _, _, pieces in lot])):
                     lengths = np.fromiter(map(len, pieces), np.uint32, len(pieces))
                     yield bucket, name, _pack(made, lengths, low[numbers], high[numbers])
 
     return map_rows(dealt, "bucket int, part long, shard binary", rows, batch=100)
 
 
-def _lots(shards: Iterator[tuple[int, list[bytes]]]) -> Iterator[list[tuple[int, list[bytes]]]]:
+def _lots(shards: Iterator[tuple[int, list[int], list[bytes]]]) -> Iterator[list[tuple[int, list[int], list[bytes]]]]:
     """Shards together until they have ``LOT`` symbols."""
     lot, size = [], 0
     for shard in shards:
         lot.append(shard)
-        size += sum(map(len, shard[1]))
+        size += sum(map(len, shard[2]))
         if size >= LOT:
             yield lot
             lot, size = [], 0
@@ -486,42 +507,46 @@ def _lots(shards: Iterator[tuple[int, list[bytes]]]) -> Iterator[list[tuple[int,
 
 
 def merged(shards: DataFrame) -> DataFrame:
-    """``(part, bucket, found)``: pieces of a part that hold something to remove, with the least ids of their strings."""
+    """``(part, bucket, body)``: pieces of a part that hold something to remove, with the least ids of
+    their strings. Places of pieces pass through, as bucket -1."""
 
     def rows(incoming):
         for bucket, held in _grouped(incoming):
+            if bucket < 0:
+                for _, part, places in held:
+                    yield part, -1, places
+                continue
             unpacked = [_unpack(r[2]) for r in held]
-            every = Shards([(t, n) for t, n, _, _ in unpacked])
-            least = every.least(np.concatenate([low for _, _, low, _ in unpacked]))
-            # Places that start no string have their piece's own least id.
-            lowest = np.minimum.reduceat(least, every.first)
+            least = least_ids([(t, n) for t, n, _, _ in unpacked], np.concatenate([low for _, _, low, _ in unpacked]))
             at = 0
             for (_, part, _), (_, lengths, _, high) in zip(held, unpacked):
-                ranks = np.flatnonzero(lowest[at : at + len(lengths)] < high)
-                first, n = every.first[at + ranks], lengths[ranks].astype(np.int64) - SPAN + 1
-                at += len(lengths)
-                if len(ranks):
-                    places = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                    yield part, bucket, _pack(ranks.astype(np.uint32), least[places])
+                n = lengths.astype(np.int64) - SPAN + 1
+                mine = least[at : at + n.sum()]
+                at += len(mine)
+                tell = np.minimum.reduceat(mine, np.cumsum(n) - n) < high
+                if tell.any():
+                    yield part, bucket, _pack(np.flatnonzero(tell).astype(np.uint32), mine[np.repeat(tell, n)])
 
     dealt = shards.repartition("bucket").sortWithinPartitions("bucket", "part")
-    return map_rows(dealt, "part long, bucket int, found binary", rows, batch=100)
+    return map_rows(dealt, "part long, bucket int, body binary", rows, batch=100)
 
 
-def applied(dealt: DataFrame, buckets: int, id_column: str) -> DataFrame:
+def applied(dealt: DataFrame, id_column: str) -> DataFrame:
     """Removes what is covered, document by document."""
 
     def rows(incoming):
-        marker = Marker()
         for _, held in _grouped(incoming):
-            part = _part(held, buckets, marker)
-            gone = part.removed({r[3]: _unpack(r[4]) for r in held if r[1] == 1})
-            data, begin = np.frombuffer(part.text, np.uint8), 0
-            for name, end in zip(part.names, part.ends.tolist()):
+            docs = [(r[2], r[4]) for r in held if r[1] == 1]
+            text, ids, ends = _end_to_end(docs)
+            found = {r[3]: r[4] for r in held if r[1] == 0}
+            places = found.pop(-1, None)
+            gone = np.zeros(len(text), bool) if places is None else removed(ids, ends, places, {b: _unpack(z) for b, z in found.items()})
+            data, begin = np.frombuffer(text, np.uint8), 0
+            for (name, _), end in zip(docs, ends.tolist()):
                 mask = gone[begin:end]
                 edges = np.flatnonzero(np.diff(mask.astype(np.int8), prepend=0, append=0))
                 spans = [{"start": a, "end": b} for a, b in edges.reshape(-1, 2).tolist()]
-                kept = data[begin:end][~mask].tobytes() if spans else part.text[begin:end]
+                kept = data[begin:end][~mask].tobytes() if spans else text[begin:end]
                 yield name, end - begin, int(mask.sum()), spans, hashlib.sha256(kept).hexdigest()
                 begin = end
 
@@ -544,6 +569,6 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     known = cut_lineage(repeated_markers(lists))
     markers = known.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, markers * (SPAN + 14) // BUCKET_BYTES)
-    shards = shard_transforms(_with_documents(texts, known), buckets)
-    found = cut_lineage(merged(shards))
-    return applied(_with_documents(texts, known, found), buckets, id_column)
+    told = known.select("part", F.lit(0).alias("bucket"), F.col("known").alias("body"))
+    found = cut_lineage(merged(shard_transforms(_with_documents(texts, told), buckets)))
+    return applied(_with_documents(texts, found), id_column)

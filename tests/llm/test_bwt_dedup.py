@@ -55,19 +55,40 @@ def test_every_byte(spark, monkeypatch, small):
     assert got == plain(rows)
 
 
+def shard(rng, n, long):
+    pieces = sorted({bytes(rng.choices(b"ab\x00\xfe", k=rng.randrange(1, long))) for _ in range(n)})
+    return pieces, bw.transforms([[b"x"], pieces, pieces])[1]
+
+
 def test_transform_and_its_inverse():
     rng = random.Random(2)
-    shards = []
     for _ in range(4):
-        pieces = sorted({bytes(rng.choices(b"ab\x00", k=rng.randrange(1, 90))) for _ in range(30)})
+        pieces, got = shard(rng, 30, 90)
         plain_rows = sorted((p[k:], j, k) for j, p in enumerate(pieces) for k in range(len(p) + 1))
         want = [pieces[j][k - 1] + 1 if k else 0 for _, j, k in plain_rows]
-        got = bw.transforms([[b"x"], pieces, pieces])[1]
         assert got.tolist() == want
-        shards.append((pieces, got))
-    every = bw.Shards([(t, np.array([len(p) for p in ps])) for ps, t in shards])
-    back = bytes([(s - 1) % 256 for s in every.symbols.tolist()])
-    assert back == b"".join(p + b"\xff" for ps, _ in shards for p in ps)
+        back = bw.backward([got])
+        for row, p in enumerate(pieces):
+            read = []
+            while got[row]:
+                read.append(got[row] - 1)
+                row = back[row]
+            assert bytes(read[::-1]) == p
+
+
+@pytest.mark.parametrize("span", [1, 2, 7, 8])
+def test_merge_of_transforms(monkeypatch, span):
+    monkeypatch.setattr(bw, "SPAN", span)
+    rng, shards, ids, least = random.Random(span), [], [], {}
+    for _ in range(5):
+        pieces = sorted({bytes(rng.choices(b"ab\x00\xfe", k=rng.randrange(span, 20))) for _ in range(40)})
+        shards.append((bw.transforms([pieces])[0], np.array([len(p) for p in pieces], np.uint32)))
+        for p in pieces:
+            ids.append((p, rng.randrange(-50, 1000)))
+            for i in range(len(p) - span + 1):
+                least[p[i : i + span]] = min(least.get(p[i : i + span], 9999), ids[-1][1])
+    want = [least[p[i : i + span]] for p, _ in ids for i in range(len(p) - span + 1)]
+    assert bw.least_ids(shards, np.array([k for _, k in ids])).tolist() == want
 
 
 def test_packed_columns():

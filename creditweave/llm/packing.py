@@ -12,6 +12,7 @@ in a window not yet full go to a second round over all shards.
 from __future__ import annotations
 
 import re
+import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -96,8 +97,8 @@ class Ids:
 
     def _merge(self, piece: str) -> bytes:
         """Ids of one pre-token in normal form, by the merges alone."""
-        tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(self.signs))
-        return np.array([t.id for t in tokens], "<u4").tobytes()
+        ids = [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.signs))]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.encoder.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -233,10 +234,16 @@ class Shard:
 
 
 def _term_counts(ids: np.ndarray) -> bytes:
+    """``(term, count)`` pairs of a tail's ids, by term."""
     ordered = np.sort(ids.astype("<u2"))
-    first = np.flatnonzero(np.concatenate((ordered[:1] == ordered[:1], ordered[1:] != ordered[:-1])))
+    starts = np.empty(len(ordered), bool)
+    starts[:1] = True
+    np.not_equal(ordered[1:], ordered[:-1], out=starts[1:])
+    first = np.flatnonzero(starts)
     out = np.empty((len(first), 2), "<u2")
-    out[:, 0], out[:, 1] = ordered[first], np.diff(first, append=len(ordered))
+    out[:, 0] = ordered[first]
+    out[:-1, 1] = first[1:] - first[:-1]
+    out[-1:, 1] = len(ordered) - first[-1:]
     return out.tobytes()
 
 

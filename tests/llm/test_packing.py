@@ -93,3 +93,9 @@ def test_repeated_rows_and_empty_table(spark):
 @pytest.mark.parametrize("text", ["", "<|startoftext|>x"])
 def test_special_strings(text):
     assert packing.Ids(PATH).of(text) == np.array(want_ids(text)[:-1], "<u4").tobytes()
+
+
+def test_term_counts_by_term():
+    for ids in ([], [5], [5, 5, 5], [7, 3, 7, 1, 49000, 3]):
+        pairs = np.frombuffer(packing._term_counts(np.array(ids, "<u4")), "<u2").reshape(-1, 2)
+        assert [tuple(map(int, p)) for p in pairs] == sorted((t, ids.count(t)) for t in set(ids))

@@ -12,7 +12,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from creditweave.operators import checks
+from creditweave.session import lean_disk, remove
 from creditweave.settings import ID, TARGET
+from creditweave.sources.versioned import shares
 
 
 @dataclass(frozen=True)
@@ -66,18 +68,31 @@ def write_checked(name: str, df: DataFrame, path: str) -> tuple[DataFrame, dict[
     return df.sparkSession.read.schema(df.schema).parquet(path), found
 
 
-def run_catalogue(spark: SparkSession, frames: dict[str, DataFrame], root: str) -> DataFrame:
+def run_catalogue(spark: SparkSession, frames: dict[str, DataFrame], root: str, keep: bool = True) -> DataFrame:
     """One row per declared check with the rows (or repeated or unknown keys) at fault.
 
     ``frames`` are the tables by name; each is computed once, by being written below ``root``.
+    Keys are counted in shares of about as many rows as a commit deals out at once. Unless
+    ``keep``, a table goes as soon as no check is left that reads it.
     """
-    stored, rows = {}, []
-    for name, df in frames.items():
-        stored[name], found = write_checked(name, df, f"{root}/{name}")
-        rows += [(name, check, column, n) for (check, column), n in found.items()]
-    for name, table in stored.items():
-        declared = CATALOGUE[name]
-        rows += [(name, "unique", column, n) for column, n in checks.repeated_keys(table, declared.unique).items()]
-        for column, (parent, key) in declared.known.items():
-            rows.append((name, "relationships", column, checks.orphans(table, column, stored[parent], key).count()))
-    return spark.createDataFrame(rows, RESULT)
+    stored, of_rows, of_keys = {}, [], {name: [] for name in frames}
+    # Relationships by child column: they wait for both tables.
+    waiting = {(name, column): known for name in frames for column, known in CATALOGUE[name].known.items()}
+    with lean_disk(spark):
+        for name, df in frames.items():
+            stored[name], found = write_checked(name, df, f"{root}/{name}")
+            of_rows += [(name, check, column, n) for (check, column), n in found.items()]
+            unique = CATALOGUE[name].unique
+            parts = shares(spark, stored[name].count()) if unique else 1
+            of_keys[name] += [(name, "unique", c, n) for c, n in checks.repeated_keys(stored[name], unique, parts).items()]
+            for (child, column), (parent, key) in [*waiting.items()]:
+                if child in stored and parent in stored:
+                    unknown = checks.orphans(stored[child], column, stored[parent], key).count()
+                    of_keys[child].append((child, "relationships", column, unknown))
+                    del waiting[child, column]
+            needed = {t for (child, _), (parent, _) in waiting.items() for t in (child, parent)}
+            if not keep:
+                done = [t for t in stored if t not in needed]
+                remove(spark, [f"{root}/{t}" for t in done])
+                stored = {t: table for t, table in stored.items() if t in needed}
+        return spark.createDataFrame(of_rows + [row for rows in of_keys.values() for row in rows], RESULT)
